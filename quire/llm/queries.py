@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm import mixing, packing, pseudonyms, quality, rotation, tokens
+from quire.llm import jaccard, mixing, packing, page_text, pseudonyms, quality, rotation, tokens, toxicity
 from quire.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,13 +38,25 @@ def op4_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), WINDOW)
 
 
+def op6_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("spans")
+
+
 def op7_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op9_quality(spark, sf_dir):
     return quality.score(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_rotation, op3_token_counts, op4_packing, op7_mixing, op9_quality)}
-ORACLES = {"op2_rotation": rotation.ORACLE, "op7_mixing": mixing.ORACLE, "op9_quality": quality.ORACLE}
+def op10_page_text(spark, sf_dir):
+    return page_text.main_text(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_rotation, op3_token_counts, op4_packing, op6_toxicity, op7_mixing, op8_ngram_jaccard, op9_quality, op10_page_text)}
+ORACLES = {"op2_rotation": rotation.ORACLE, "op7_mixing": mixing.ORACLE, "op8_ngram_jaccard": jaccard.ORACLE, "op9_quality": quality.ORACLE}
