@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm import jaccard, mixing, packing, page_text, pseudonyms, quality, rotation, tokens, toxicity
+from quire.llm import jaccard, mixing, neighbours, packing, page_text, pseudonyms, quality, rotation, tokens, toxicity
 from quire.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,10 @@ def op4_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), WINDOW)
 
 
+def op5_neighbours(spark, sf_dir):
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("spans")
 
@@ -58,5 +62,5 @@ def op10_page_text(spark, sf_dir):
     return page_text.main_text(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_rotation, op3_token_counts, op4_packing, op6_toxicity, op7_mixing, op8_ngram_jaccard, op9_quality, op10_page_text)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_rotation, op3_token_counts, op4_packing, op5_neighbours, op6_toxicity, op7_mixing, op8_ngram_jaccard, op9_quality, op10_page_text)}
 ORACLES = {"op2_rotation": rotation.ORACLE, "op7_mixing": mixing.ORACLE, "op8_ngram_jaccard": jaccard.ORACLE, "op9_quality": quality.ORACLE}

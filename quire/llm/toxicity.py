@@ -81,8 +81,9 @@ class Field:
         if None in got:
             if len(known) > 500_000:
                 known.clear()
+                got = [None] * len(words)
             w = self.weights
-            for x in set(words) - known.keys():
+            for x in {x for x, y in zip(words, got, strict=True) if y is None}:
                 known[x] = self.bias + sum([w.get(f, 0.0) for f in features(x)])
             got = list(map(known.get, words))
         return got
