@@ -62,7 +62,9 @@ class Encoder:
         """Ids with the half-open range of characters that each stands for."""
         if self.pieces:
             out = self.tok.encode(text, return_type="proto")
-            return [p.id for p in out.pieces], [(p.begin, p.end) for p in out.pieces]
+            begins = np.cumsum([0, *[len(c.encode()) for c in text]])  # its offsets count bytes
+            spans = np.searchsorted(begins, [(p.begin, p.end) for p in out.pieces]).tolist() if out.pieces else []
+            return [p.id for p in out.pieces], [tuple(x) for x in spans]
         e = self.tok.encode(text, add_special_tokens=False)
         return e.ids, e.offsets
 
