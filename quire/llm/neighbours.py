@@ -97,7 +97,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", v
 
     Each of ``tables`` hash tables visits its buckets in the order of the estimated chance of success, the squared distance
     of the query's projections to the bucket's cell, up to one bound; what the tables find is merged and ranked by the
-    exact inner product in double precision. The bound is fitted on at most ``sample_queries`` queries, whose true
+    exact inner product in double precision; a query that finds too few goes on with a wider bound. The bound is fitted on at most ``sample_queries`` queries, whose true
     neighbours among all rows are found directly: so many of those lie within it that ``recall`` of them are visited.
 
     Rows are dealt by table and the first ``coarse`` coordinates of their cell, and a query goes to the parts that its bound
@@ -152,30 +152,48 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", v
                 for t in range(h.tables):
                     yield pd.DataFrame({"t": np.int32(t), "part": [",".join(map(str, r)) for r in c[:, t].tolist()], "vec_id": b.vec_id.to_numpy(), "embedding": b.embedding.to_numpy()})
 
-    def ask(batches):
-        h = hashes.value
-        reach = math.isqrt(int(bound)) + 1
-        moves = np.stack(np.meshgrid(*[np.arange(-reach, reach + 1)] * coarse, indexing="ij"), axis=-1).reshape(-1, coarse)
-        for b in batches:
-            if len(b):
-                p = h.queries(matrix(b.embedding))[:, :, :coarse]
-                for t in range(h.tables):
-                    cells = np.floor(p[:, t])[:, None] + moves[None]
-                    r, m = np.nonzero(steps_out(p[:, t][:, None], cells).sum(axis=2) <= bound)
-                    yield pd.DataFrame({"t": np.int32(t), "part": [",".join(map(str, c)) for c in cells[r, m].astype(np.int64).tolist()], "vec_id": b.vec_id.to_numpy()[r], "embedding": b.embedding.to_numpy()[r]})
+    def ask_within(bound):
+        def ask(batches):
+            h = hashes.value
+            reach = math.isqrt(int(bound)) + 1
+            moves = np.stack(np.meshgrid(*[np.arange(-reach, reach + 1)] * coarse, indexing="ij"), axis=-1).reshape(-1, coarse)
+            for b in batches:
+                if len(b):
+                    p = h.queries(matrix(b.embedding))[:, :, :coarse]
+                    for t in range(h.tables):
+                        cells = np.floor(p[:, t])[:, None] + moves[None]
+                        r, m = np.nonzero(steps_out(p[:, t][:, None], cells).sum(axis=2) <= bound)
+                        yield pd.DataFrame({"t": np.int32(t), "part": [",".join(map(str, c)) for c in cells[r, m].astype(np.int64).tolist()], "vec_id": b.vec_id.to_numpy()[r], "embedding": b.embedding.to_numpy()[r]})
+
+        return ask
 
     shape = "t int, part string, vec_id long, embedding array<double>"
-    dealt = rows.select("vec_id", "embedding").mapInPandas(deal, shape)
-    asked = rows.where("asks").select("vec_id", "embedding").mapInPandas(ask, shape)
-    per = lambda n: F.ceil(F.col(n) / chunk).cast("int")
-    counts = dealt.groupBy("t", "part").agg(F.count(F.lit(1)).alias("nd")).join(asked.groupBy("t", "part").agg(F.count(F.lit(1)).alias("nq")), ["t", "part"])
-    counts = stable(counts.select("t", "part", per("nd").alias("cd"), F.ceil(F.col("nq") / 512).cast("int").alias("cq")), "counts")
-    small = bounded(counts, counts.count(), 64)
-    of = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(n)), F.col(n).cast("long")).cast("int")
-    dealt = dealt.join(small, ["t", "part"]).withColumn("i", of("cd")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cq") - 1))).drop("cd", "cq")
-    asked = asked.join(small, ["t", "part"]).withColumn("j", of("cq")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("cd") - 1))).drop("cd", "cq")
-    group = ["t", "part", "i", "j"]
-    found = dealt.groupBy(*group).cogroup(asked.groupBy(*group)).applyInPandas(_search_block(hashes, bound, k), schema)
-    merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    out = merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    laid = rows.select("vec_id", "embedding").mapInPandas(deal, shape)
+
+    def visited(queries: DataFrame, bound: float) -> DataFrame:
+        asked = queries.mapInPandas(ask_within(bound), shape)
+        counts = laid.groupBy("t", "part").agg(F.count(F.lit(1)).alias("nd")).join(asked.groupBy("t", "part").agg(F.count(F.lit(1)).alias("nq")), ["t", "part"])
+        counts = stable(counts.select("t", "part", F.ceil(F.col("nd") / chunk).cast("int").alias("cd"), F.ceil(F.col("nq") / 512).cast("int").alias("cq")), "counts")
+        small = bounded(counts, counts.count(), 64)
+        of = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(n)), F.col(n).cast("long")).cast("int")
+        dealt = laid.join(small, ["t", "part"]).withColumn("i", of("cd")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cq") - 1))).drop("cd", "cq")
+        asked = asked.join(small, ["t", "part"]).withColumn("j", of("cq")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("cd") - 1))).drop("cd", "cq")
+        group = ["t", "part", "i", "j"]
+        found = dealt.groupBy(*group).cogroup(asked.groupBy(*group)).applyInPandas(_search_block(hashes, bound, k), schema)
+        merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        out = merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return stable(out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "visited")
+
+    # a query whose buckets held too few vectors goes on to further ones, until it has k or all that there are
+    full = min(k, sizes.n - 1)
+    asking = rows.where("asks").select("vec_id", "embedding")
+    out = visited(asking, bound)
+    while full:
+        done = out.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= full).select(F.col("query_id").alias("vec_id"))
+        short = stable(asking.join(done, "vec_id", "left_anti"), "short")
+        if short.isEmpty():
+            break
+        bound = 4 * bound + 1
+        again = visited(short, bound)
+        out = out.join(again.select("query_id").distinct(), "query_id", "left_anti").select("query_id", "rank", "vec_id", "score").union(again)
+    return out
