@@ -7,8 +7,9 @@ Within a tile, trees over the points bound the overlap of two sets by the summed
 boxes by those of their upper corners; pairs that the bound lets pass are verified on the sets themselves.
 
 A tile's sets are first compared with one pivot each; the components of these links are then left out of the trees'
-comparisons, which look only for links between different components. So a group of any number of near copies costs about
-as many comparisons as it has members.
+comparisons, which look only for links between different components: first for each set's most promising one, then, with
+what that has joined, for all that are left. So a group of any number of near copies costs about as many comparisons as it
+has members.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import bounded, small_batches, stable
 
-GROUPS = 64
+GROUPS = 256
 LEAF = 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -118,8 +119,9 @@ def tiles(u: np.ndarray, percent: int, table: list[tuple[int, int, int]], firsts
 
 
 def point(u: np.ndarray) -> np.ndarray:
-    """Counts of a set's hashes in GROUPS groups."""
-    return np.bincount((mixed(u ^ _M2) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+    """Counts of a set's hashes in GROUPS groups; sets too large for that many have more than a 16-bit count only beyond
+    8 million shingles, and are then compared by the exact sets alone (a count of 32767 stands for any above)."""
+    return np.bincount((mixed(u ^ _M2) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).clip(0, 32767).astype(np.int16)
 
 
 def signatures(docs: DataFrame, k: int, percent: int, key: str, text: str, top: int = 1 << 40) -> DataFrame:
@@ -162,57 +164,79 @@ def sets_of(docs: DataFrame, k: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             us = shingle_sets(b.column(1).to_pylist(), k)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(u) for u in us], pa.int64()), pa.array([point(u) for u in us], pa.list_(pa.int32())), pa.array([u.astype(np.int64) for u in us], pa.list_(pa.int64()))], ["node", "n", "point", "members"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(u) for u in us], pa.int64()), pa.array([point(u) for u in us], pa.list_(pa.int16())), pa.array([u.astype(np.int64) for u in us], pa.list_(pa.int64()))], ["node", "n", "point", "members"])
 
-    return docs.mapInArrow(make, "node long, n long, point array<int>, members array<long>")
+    return docs.mapInArrow(make, "node long, n long, point array<smallint>, members array<long>")
 
 
 class RTree:
-    """A bulk-loaded tree of points: leaves of LEAF points next to each other in size and counts, boxes above them."""
+    """A bulk-loaded tree of points: leaves of LEAF points of like component, size and counts, boxes above them.
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
-        order = np.lexsort((points[:, 1], points[:, 0], sizes)) if len(points) else np.empty(0, np.int64)
-        self.levels: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
+    A box has the greatest count of its points in every group, their least size, and their component if it is one.
+    """
+
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, component: np.ndarray, percent: int):
+        self.percent, self.sizes, self.component = percent, sizes, component
+        self.points = points.astype(np.int32)
+        order = np.lexsort((self.points[:, 1], self.points[:, 0], sizes, component)) if len(points) else np.empty(0, np.int64)
         groups = [order[i : i + LEAF] for i in range(0, len(order), LEAF)]
-        self.leaves = groups
-        upper, least = (np.stack([points[g].max(axis=0) for g in groups]), np.asarray([sizes[g].min() for g in groups])) if groups else (points, sizes)
-        self.levels.append((upper, least, groups))
-        while len(self.levels[-1][2]) > 1:
-            upper, least, below = self.levels[-1]
-            groups = [np.arange(i, min(i + LEAF, len(below))) for i in range(0, len(below), LEAF)]
-            self.levels.append((np.stack([upper[g].max(axis=0) for g in groups]), np.asarray([least[g].min() for g in groups]), groups))
-
-    def pairs(self, percent: int, component: np.ndarray) -> np.ndarray:
-        """Pairs of point numbers whose bound reaches the overlap that a link needs, of different components only."""
+        self.levels = [self._boxes(groups, self.points, sizes, component, component)]
+        while len(self.levels[-1][0]) > 1:
+            below = self.levels[-1]
+            self.levels.append(self._boxes([np.arange(i, min(i + LEAF, len(below[0]))) for i in range(0, len(below[0]), LEAF)], *below[1:]))
+
+    @staticmethod
+    def _boxes(groups, upper, least, first, last):
+        if not groups:
+            return groups, upper, least, first, last
+        return groups, np.stack([upper[g].max(axis=0) for g in groups]), *(np.asarray([f(x[g]) for g in groups]) for f, x in ((np.min, least), (np.min, first), (np.max, last)))
+
+    def _reach(self, a, b, upper, least) -> np.ndarray:
+        """Which of a x b may hold a link, by the summed minima of their coordinates."""
+        return (100 + self.percent) * np.minimum(upper[a][:, None], upper[b][None]).sum(axis=2) >= self.percent * (least[a][:, None] + least[b][None])
+
+    def pairs(self) -> np.ndarray:
+        """Pairs of points of different components whose bound reaches the overlap that a link needs."""
         found, todo = [], [(len(self.levels) - 1, 0, 0)] if len(self.sizes) else []
         while todo:
             lev, i, j = todo.pop()
-            upper, least, groups = self.levels[lev]
-            if (100 + percent) * np.minimum(upper[i], upper[j]).sum() < percent * (least[i] + least[j]):
+            groups, _, _, first, last = self.levels[lev]
+            if first[i] == last[i] == first[j] == last[j]:
                 continue
+            a, b = groups[i], groups[j]
             if lev:
-                a, b = groups[i], groups[j]
-                low, mins = self.levels[lev - 1][0], self.levels[lev - 1][1]
-                ok = (100 + percent) * np.minimum(low[a][:, None], low[b][None]).sum(axis=2) >= percent * (mins[a][:, None] + mins[b][None])
+                ok = self._reach(a, b, *self.levels[lev - 1][1:3])
                 todo += [(lev - 1, int(a[x]), int(b[y])) for x, y in np.argwhere(ok) if i != j or x <= y]
                 continue
-            a, b = groups[i], groups[j]
-            ok = (component[a][:, None] != component[b][None]) & ((100 + percent) * np.minimum(self.points[a][:, None], self.points[b][None]).sum(axis=2) >= percent * (self.sizes[a][:, None] + self.sizes[b][None]))
-            if i == j:
-                ok = np.triu(ok, 1)
-            x, y = np.nonzero(ok)
+            ok = (self.component[a][:, None] != self.component[b][None]) & self._reach(a, b, self.points, self.sizes)
+            x, y = np.nonzero(np.triu(ok, 1) if i == j else ok)
             found.append(np.stack([a[x], b[y]], axis=1))
         return np.concatenate(found) if found else np.empty((0, 2), np.int64)
 
+    def best(self, pairs: np.ndarray) -> np.ndarray:
+        """Of each point's pairs the one with the greatest bound on the similarity."""
+        if not len(pairs):
+            return pairs
+        bound = np.concatenate([np.minimum(self.points[p[:, 0]], self.points[p[:, 1]]).sum(axis=1) for p in np.array_split(pairs, len(pairs) // 4096 + 1)])
+        share = bound / (self.sizes[pairs[:, 0]] + self.sizes[pairs[:, 1]])
+        keep = set()
+        for side in (0, 1):
+            order = np.lexsort((pairs[:, 1 - side], -share, pairs[:, side]))
+            at = pairs[order, side]
+            keep.update(order[np.concatenate([[True], at[1:] != at[:-1]])].tolist())
+        return pairs[sorted(keep)]
+
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that are links: first by the bound on their points, then on the sets themselves."""
+    """The pairs (a, b) of nodes that are links: first by the bound on their points, then, for the few that it lets pass,
+    on the sets themselves."""
     points = sets.select("node", "n", "point")
     near = pairs.join(points.toDF("a", "na", "pa"), "a").join(points.toDF("b", "nb", "pb"), "b")
     most = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    near = near.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
-    members = sets.select("node", "n", "members")
+    full = F.exists("pa", lambda x: x == 32767) | F.exists("pb", lambda x: x == 32767)
+    near = stable(near.where(full | ((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))).select("a", "b").distinct(), "near")
+    some = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    members = sets.join(bounded(some, 2 * near.count(), 16), "node", "left_semi").select("node", "n", "members")
     both = near.join(members.toDF("a", "na", "ma"), "a").join(members.toDF("b", "nb", "mb"), "b")
     shared = F.size(F.array_intersect("ma", "mb"))
     return both.where((100 + percent) * shared >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
@@ -239,17 +263,32 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def _across(percent: int):
+def _across(percent: int, best: bool):
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = RTree(np.stack(pdf.point.to_numpy()), pdf.n.to_numpy())
-        node = pdf.node.to_numpy()
-        p = tree.pairs(percent, pdf.component.to_numpy())
-        a, b = node[p[:, 0]], node[p[:, 1]]
+        tree = RTree(np.stack(pdf.point.to_numpy()), pdf.n.to_numpy(), pdf.component.to_numpy(), percent)
+        p = tree.pairs()
+        if best:
+            p = tree.best(p)
+        a, b = pdf.node.to_numpy()[p[:, 0]], pdf.node.to_numpy()[p[:, 1]]
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return search
 
 
+def _crossing(members: DataFrame, sets: DataFrame, labels: DataFrame, n: int, percent: int, chunk: int, best: bool) -> DataFrame:
+    """Pairs of different components within a tile that the trees let pass, all of them or each set's best. Tiles of equal
+    members are searched once; one of many members is searched in pairs of chunks."""
+    known = members.select("tile", "node").join(bounded(labels, n, 40), "node", "left").select("tile", "node", F.coalesce("component", "node").alias("component"))
+    open_tiles = known.groupBy("tile").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"))
+    open_tiles = open_tiles.where("c1 <> c2 and size > 2").groupBy("size", "s1", "s2").agg(F.min("tile").alias("tile")).select("tile", F.ceil(F.col("size") / chunk).cast("int").alias("chunks"))
+    open_tiles = stable(open_tiles, "open")
+    inside = known.join(bounded(open_tiles, open_tiles.count(), 32), "tile")
+    inside = inside.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(2)), F.col("chunks").cast("long")).cast("int"))
+    inside = inside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    inside = inside.select("tile", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "node", "component").join(sets.select("node", "n", "point"), "node")
+    return inside.groupBy("tile", "x", "y").applyInPandas(_across(percent, best), "a long, b long").distinct()
+
+
 def join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", chunk: int = 512) -> DataFrame:
     """Links documents of which 100 * shared >= ``percent`` * all of their distinct shingles of ``k`` words are common:
     ``key, n_shingles, component_id`` (the least key that links lead to, itself included).
@@ -276,24 +315,21 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", te
     chosen = stable(classes.join(nodes, "node", "left_semi"), "chosen")
     n = chosen.count()
     body = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))
-    texts = body.join(bounded(chosen.select(F.col("least").alias("key"), "node"), n, 40), "key").dropDuplicates(["node"])
-    sets = stable(sets_of(texts.select("node", "body"), k), "sets")
+    texts = body.join(bounded(chosen.select(F.col("least").alias("key"), "node"), n, 40), "key").select("node", "body")
+    sets = stable(sets_of(texts, k), "sets")
+    if sets.count() > n:  # repeated rows of one key
+        sets = stable(sets.dropDuplicates(["node"]), "sets")
 
     links = stable(verified(pivots, sets, percent), "found")
     labels = components(links)
-    known = members.select("tile", "node").join(bounded(labels, n, 40), "node", "left").select("tile", "node", F.coalesce("component", "node").alias("component"))
-    open_tiles = known.groupBy("tile").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"))
-    open_tiles = open_tiles.where("c1 <> c2 and size > 2").groupBy("size", "s1", "s2").agg(F.min("tile").alias("tile")).select("tile", F.ceil(F.col("size") / chunk).cast("int").alias("chunks"))
-    open_tiles = stable(open_tiles, "open")
-    inside = known.join(bounded(open_tiles, open_tiles.count(), 32), "tile")
-    inside = inside.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(2)), F.col("chunks").cast("long")).cast("int"))
-    inside = inside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    inside = inside.select("tile", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "node", "component").join(sets.select("node", "n", "point"), "node")
-    crossing = inside.groupBy("tile", "x", "y").applyInPandas(_across(percent), "a long, b long").distinct()
-    crossing = stable(crossing.join(pivots, ["a", "b"], "left_anti"), "crossing")
-    more = stable(verified(crossing, sets, percent), "more")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    tried = pivots
+    for best in (True, False):
+        crossing = stable(_crossing(members, sets, labels, n, percent, chunk, best).join(tried, ["a", "b"], "left_anti"), "crossing")
+        more = stable(verified(crossing, sets, percent), "more")
+        tried = tried.union(crossing)
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
 
     home = labels.join(chosen.select("node", "least"), "node")
     home = home.join(home.groupBy("component").agg(F.min("least").alias("id")), "component").select("node", "id")
