@@ -36,10 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stable(df: DataFrame, name: str) -> DataFrame:
-    """Write rows to the shared folder and read them back: later plans neither recompute them nor depend on executors' disks."""
+    """Write rows to the shared folder and read them back: later plans neither recompute them nor depend on executors' disks.
+    A local folder is emptied when the driver's Python ends; in another store the files stay for its own expiry."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quire-{name}-{uuid.uuid4().hex}"
     schema = df.schema
+    if path.startswith("file://"):
+        atexit.register(shutil.rmtree, path.removeprefix("file://"), ignore_errors=True)
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
