@@ -233,7 +233,7 @@ def fuzzy_title_join(spark, sf_dir):
 SELECT doc_id, trim(regexp_replace(strip_accents(lower(trim(substr(text, 1, 200)))), '[^\\p{L}\\p{N}_]+', ' ', 'g')) AS norm, CAST(length(regexp_replace(text, '[^\\p{Lu}]', '', 'g')) AS INTEGER) AS n_upper, CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS INTEGER) AS n_digit FROM documents""")
 def text_normalise(spark, sf_dir):
     f = text.features(F.col("text"))
-    return read(spark, sf_dir, "documents").select("doc_id", text.normalise(F.substring("text", 1, 200)).alias("norm"), f["n_upper"].alias("n_upper"), f["n_digit"].alias("n_digit"))
+    return read(spark, sf_dir, "documents").select("doc_id", text.normalise(F.col("text")).alias("norm"), f["n_upper"].alias("n_upper"), f["n_digit"].alias("n_digit"))
 
 
 @query("roman_numerals", "SELECT CAST(n AS INTEGER) AS n, CAST(n AS INTEGER) AS back FROM (SELECT DISTINCT o_orderkey % 3999 + 1 AS n FROM orders)")

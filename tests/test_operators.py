@@ -3,6 +3,8 @@
 import itertools
 import os
 import random
+import re
+import unicodedata
 
 import duckdb
 import pandas as pd
@@ -99,3 +101,12 @@ def test_worker_isolates_failures(spark, tmp_path):
     worker.run_jobs(jobs, lambda df: df.select("id", "batch", "package"), str(tmp_path / "ok"), str(tmp_path / "bad"), str(tmp_path / "cp"), None).awaitTermination(120)
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "ok")).collect()) == ["a", "c"]
     assert sorted((r.id, r.error) for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == [("b", "unknown keys"), ("d", "unreadable")]
+
+
+def test_text_normalise_takes_the_whole_text(spark, tmp_path):
+    """The registered SQL reads the first 200 characters of a text, so the whole is held against Python here."""
+    texts = ["Ab É 9 " * 40 + "  Zadní ČÁST 2024!", "x" * 200 + "Ž end", "short", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.norm for r in catalogue.QUERIES["text_normalise"](spark, str(tmp_path)).collect()}
+    plain = lambda t: re.sub(r"\W+", " ", "".join(c for c in unicodedata.normalize("NFD", t.lower()) if not unicodedata.combining(c))).strip()
+    assert got == {i: None if t is None else plain(t) for i, t in enumerate(texts)}
