@@ -5,6 +5,7 @@ import os
 import random
 import re
 import unicodedata
+from collections import Counter
 
 import duckdb
 import pandas as pd
@@ -110,3 +111,27 @@ def test_text_normalise_takes_the_whole_text(spark, tmp_path):
     got = {r.doc_id: r.norm for r in catalogue.QUERIES["text_normalise"](spark, str(tmp_path)).collect()}
     plain = lambda t: re.sub(r"\W+", " ", "".join(c for c in unicodedata.normalize("NFD", t.lower()) if not unicodedata.combining(c))).strip()
     assert got == {i: None if t is None else plain(t) for i, t in enumerate(texts)}
+
+
+def test_iou_join_and_cardinality_take_every_line(spark, tmp_path):
+    """The registered SQL filters lines by l_orderkey and l_linenumber, so all lines are held against Python here."""
+    rng = random.Random(4)
+    lines = [(o, n, rng.randint(1, 6), 1, float(rng.randint(1, 50)), rng.choice("ARN"), rng.randint(0, 10) / 100) for o in range(1, 41) for n in range(1, rng.randint(2, 8))]
+    orders = [(o, rng.randint(1, 8)) for o in range(1, 41)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string, l_discount double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+
+    def iou(a, b):
+        over = lambda p, q, v, w: max(min(p + v, q + w) - max(p, q), 0)
+        i = over(a[1] * 10.0, b[1] * 10.0, a[4], b[4]) * over(a[6] * 100, b[6] * 100, 10.0, 10.0)
+        return i / (a[4] * 10 + b[4] * 10 - i)
+
+    want = [(a[0], a[2], b[2], round(iou(a, b), 6)) for a in lines for b in lines if a[0] == b[0] and a[5] == "A" and b[5] == "R" and iou(a, b) > 0.2]
+    got = [tuple(r) for r in catalogue.QUERIES["iou_join"](spark, str(tmp_path)).collect()]
+    assert sorted(x[:3] for x in got) == sorted(x[:3] for x in want) and any(o % 10 for o, *_ in got)
+    assert [x[3] for x in sorted(got)] == pytest.approx([x[3] for x in sorted(want)], abs=2e-6)
+
+    left, right = Counter(c for _, c in orders), Counter(x[2] for x in lines)
+    branch = lambda n, m: "n:m" if n > 1 and m > 1 else "n:1" if n > 1 else "1:n" if m > 1 else "1:1"
+    got = [tuple(r) for r in catalogue.QUERIES["number_join_cardinality"](spark, str(tmp_path)).select("k", "n_left", "n_right", "branch").collect()]
+    assert sorted(got) == sorted((k, n, right[k], branch(n, right[k])) for k, n in left.items() if k in right)
