@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import jaccard, mixing, packing, pseudonyms, quality
-from quire.llm.common import stable, table
+from quire.llm.common import numbered, stable, table
 from quire.llm.queries import WINDOW, tokenizer_path
 
 
@@ -31,8 +31,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it; those that it doesn't take go."""
-    copies = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
-    return docs.join(copies, F.col("doc_id") == F.col("_id")).drop("_id", "_copy")
+    rows = numbered(docs)
+    copies = mixing.mix(rows, row="_row").where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
+    return rows.join(copies, "_row").drop("_row", "_copy")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,11 @@ def stable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str = "_row") -> DataFrame:
+    """Rows with a number each, ``name``, which every later read finds the same: they are written first."""
+    return stable(df.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 def fits_broadcast(rows: int, bytes_per_row: int, limit: int = 16 << 20) -> bool:
     return rows * bytes_per_row <= limit
 

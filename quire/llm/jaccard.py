@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bounded, small_batches, stable
+from quire.llm.common import bounded, numbered, small_batches, stable
 
 GROUPS = 256
 LEAF = 16
@@ -339,9 +339,20 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", te
 
 
 def distinct(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of least key of every component, with all its columns; its repeated rows count as one."""
-    stays = join(docs, k, percent, key, text).where(F.col("component_id").eqNullSafe(F.col(key))).select(F.col(key).alias("_stays")).distinct()
-    return docs.join(stays, F.col(f"`{key}`").eqNullSafe(F.col("_stays")), "left_semi").dropDuplicates([key])
+    """The document of least key of every component, with all its columns; its repeated rows count as one.
+
+    Rows are linked by their own numbers, not by key: different texts under one key, or without a key, each stay unless
+    they are linked. A null key is the greatest. Rows without words are one for each key; each stays where that is null.
+    """
+    rows = numbered(docs)
+    linked = join(rows, k, percent, "_row", text)
+    ids = rows.select("_row", F.col(f"`{key}`").alias("_key"))
+    empty = F.col("n_shingles") == 0
+    lone = F.when(empty & F.col("_key").isNotNull(), F.col("_key"))
+    linked = linked.join(ids, "_row").select("_row", "_key", lone.alias("_lone"), F.when(lone.isNull(), F.col("component_id")).alias("_of"))
+    least = F.min(F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("key"), F.col("_row").alias("row")))
+    stays = linked.groupBy("_lone", "_of").agg(least.alias("least")).select(F.col("least.row").alias("_row"))
+    return rows.join(stays, "_row", "left_semi").drop("_row")
 
 
 #: All links and components in SQL.

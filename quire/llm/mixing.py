@@ -34,7 +34,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     return src.select("source", "source_size", "docs", F.when(F.col("level").isNull(), F.col("cap").cast("double")).otherwise(F.least(F.col("cap").cast("double"), even)).alias("target"))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: str = "mix", most: int = 3, bucket_docs: int = 1024) -> DataFrame:
+def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: str = "mix", most: int = 3, bucket_docs: int = 1024, row: str | None = None) -> DataFrame:
     """How many words, repeats counted, the mix takes of each document: ``key, size, source_size, target, copies, taken``.
 
     With r the target over the source's size, every document gets floor(r) whole copies for certain. The words that
@@ -44,22 +44,24 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     size is nearest to what is still wrong, brings its words close to the target. Inclusion probabilities differ
     between sources; the sample's size in words is fixed.
 
-    Null texts have size 0; a null source is a source; repeated rows are separate documents, with the same u, taken in
-    any order, as they are alike; other columns are left out; an empty table gives an empty one. Reruns agree.
+    Null texts have size 0; a null source is a source; rows of one key are separate documents with the same u, in the
+    order of a hash of their text, and alike rows in any order; where the key is null u comes from that hash. Other columns
+    are left out, but for ``row``, a column that tells rows apart; an empty table gives an empty one. Reruns agree.
     Order sums use buckets of u of bounded size, so that no source, however large, is sorted in one task.
     """
-    sizes = stable(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size")), "sizes")
+    own = [F.col(row).alias("of")] if row else []
+    sizes = stable(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), F.xxhash64(text).alias("tie"), *own), "sizes")
     src = stable(targets(sizes, most=most), "targets")
     n_sources = src.count()
     src = src.withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
     src = src.withColumn("whole", F.least(F.floor("ratio"), F.lit(most)).cast("long")).withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
     src = src.withColumn("p", F.col("ratio") - F.col("whole")).withColumn("buckets", F.ceil(F.col("docs") / bucket_docs))
     src = src.withColumnRenamed("source", "its")
-    u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("key").cast("string"))), 1, DIGITS), 16, 10).cast("double") + 0.5) / float(16**DIGITS)
+    u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("key").cast("string"), F.col("tie").cast("string")))), 1, DIGITS), 16, 10).cast("double") + 0.5) / float(16**DIGITS)
     d = sizes.withColumn("u", u).join(bounded(src, n_sources, 200), F.col("source").eqNullSafe(F.col("its"))).drop("its")
     odds = (F.col("u") / (1 - F.col("u"))) * (1 - F.col("p")) / F.col("p")
     d = d.withColumn("rank", F.when(F.col("p") > 0, odds).otherwise(F.col("u"))).withColumn("bucket", F.floor(F.col("u") * F.col("buckets")))
-    in_bucket = Window.partitionBy("source", "bucket").orderBy("rank", "key", "size")
+    in_bucket = Window.partitionBy("source", "bucket").orderBy("rank", "key", "size", "tie")
     d = d.withColumn("row", F.row_number().over(in_bucket)).withColumn("sum", F.sum("size").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)))
     sums = d.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     sums = sums.withColumn("before", F.sum("words").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("words"))
@@ -67,7 +69,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     d = d.join(sums, F.col("source").eqNullSafe(F.col("its")) & (F.col("bucket") == F.col("nth"))).drop("its", "nth")
     end = F.col("before") + F.col("sum")
     d = d.withColumn("extra", (F.col("whole") < most) & (end - F.col("missing") < F.col("missing") - (end - F.col("size"))))
-    d = stable(d.select("key", "source", "size", "source_size", "target", "whole", "missing", "rank", "bucket", "row", "extra"), "drawn")
+    d = stable(d.select("key", "source", "size", "source_size", "target", "whole", "missing", "rank", "bucket", "row", "extra", *(["of"] if row else [])), "drawn")
 
     wrong = d.groupBy("source").agg(F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0)).alias("drawn"), F.first("missing").alias("missing"))
     wrong = wrong.select(F.col("source").alias("its"), (F.col("missing") - F.col("drawn")).alias("gap"))
@@ -79,7 +81,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     d = d.join(bounded(swap, n_sources, 100), F.col("source").eqNullSafe(F.col("its")), "left")
     taken = F.col("extra") != F.coalesce((F.col("b") == F.col("bucket")) & (F.col("r") == F.col("row")), F.lit(False))
     copies = F.col("whole") + taken.cast("long")
-    return d.select(F.col("key").alias(key), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return d.select(*([F.col("of").alias(row)] if row else []), F.col("key").alias(key), "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 #: The same result in SQL, without buckets.

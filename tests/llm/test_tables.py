@@ -102,6 +102,42 @@ def test_join_of_odd_rows(spark):
     assert kept.columns == odd(spark).columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5]
 
 
+#: Null ids, and ids that repeat, with texts of their own.
+SHARED = [(None, 11), (None, 12), (None, 13), (7, 14), (7, 15), (7, 16), (8, 17), (9, 18)]
+
+
+def shared_ids(spark):
+    texts = [prose(random.Random(s), 40 + s) for _, s in SHARED]
+    rows = [(i, t, f"s{n % 2}") for n, ((i, _), t) in enumerate(zip(SHARED, texts, strict=True))]
+    rows += [(1, rows[1][1], "s0"), (5, rows[4][1], "s1"), (7, rows[3][1], "s1"), (None, rows[2][1], "s0")]
+    return texts, spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+
+
+def test_distinct_keeps_every_text_of_shared_and_null_ids(spark):
+    texts, df = shared_ids(spark)
+    ids = [None, 1, None, 7, 5, 7, 8, 9]
+    kept = jaccard.distinct(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted((i or 0, t) for i, t in zip(ids, texts, strict=True))
+
+
+def test_mix_sources_copies_rows_not_ids(spark):
+    import corpus_pipeline as p
+
+    df = shared_ids(spark)[1].withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long"))
+    want = mixing.mix(df).groupBy("size").agg(F.sum("copies").alias("n")).where("n > 0").collect()
+    out = p.mix_sources(spark, df, "")
+    got = out.groupBy(F.size(F.split("text", " ")).cast("long").alias("size")).count().collect()
+    assert out.columns == df.columns and {r.size: r["count"] for r in got} == {r.size: r.n for r in want}
+    source = {(r.doc_id, r.text): 0 for r in df.collect()}
+    for r in df.collect():
+        source[r.doc_id, r.text] += 1
+    taken = defaultdict(int)
+    for r in out.collect():
+        taken[r.doc_id, r.text] += 1
+    assert all(n <= 3 * source[k] for k, n in taken.items()) and any(i is None for i, _ in taken)
+
+
 def test_packing_is_whole_and_tight(spark, corpus):
     from quire.llm.tokens import Encoder
 
