@@ -18,7 +18,7 @@ ROUNDS = 8
 PATTERNS: dict[str, str] = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?i:(?<![a-z0-9_])(?:password|passwd|secret|token|api_key)\x20?[=:]\x20?\"?[A-Za-z0-9+/_-]{8,128}+)",
+    "secret": r"(?i:(?<![a-z0-9_])(?:password|passwd|secret|token|api_key)\x20?[=:]\x20?\"?[A-Za-z0-9+/_-]{8,}+)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])",
     "iso_date": r"(?<![0-9A-Za-z/.-])[0-9]{4}(?<isep>[-/.])(?:0[1-9]|1[0-2])\k<isep>(?:0[1-9]|[12][0-9]|3[01])(?![0-9A-Za-z]|[/.-][0-9])",

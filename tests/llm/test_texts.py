@@ -52,6 +52,16 @@ def test_values_keep_their_formats_and_links(spark):
     assert back == texts
 
 
+def test_secrets_of_any_length(spark):
+    rng = np.random.default_rng(6)
+    secret = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789"), 300))
+    df = spark.createDataFrame([(0, f"token={secret} end")], "doc_id int, text string")
+    out = pseudonyms.pseudonymise(df)
+    got = out.first().text
+    assert len(got) == 310 and got.startswith("token=") and got.endswith(" end") and secret[128:] not in got and secret[-40:] not in got
+    assert pseudonyms.pseudonymise(out, undo=True).first().text == f"token={secret} end"
+
+
 def test_dates_are_permuted_in_their_century(spark):
     d = spark.sql("SELECT explode(sequence(date'1900-01-01', date'1999-12-31')) AS d").select("d", pseudonyms._day(F.col("d"), "k", False).alias("p")).toPandas()
     assert len(d) == 36524 == d.p.nunique() and min(d.p).year == 1900 and max(d.p).year == 1999
