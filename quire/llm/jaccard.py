@@ -177,7 +177,7 @@ class RTree:
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, component: np.ndarray, percent: int):
         self.percent, self.sizes, self.component = percent, sizes, component
-        self.points = points.astype(np.int32)
+        self.points = np.where(points == 32767, np.int32(1 << 30), points.astype(np.int32))  # a clipped count may be any above
         order = np.lexsort((self.points[:, 1], self.points[:, 0], sizes, component)) if len(points) else np.empty(0, np.int64)
         groups = [order[i : i + LEAF] for i in range(0, len(order), LEAF)]
         self.levels = [self._boxes(groups, self.points, sizes, component, component)]

@@ -94,6 +94,13 @@ def test_tree_finds_what_a_scan_finds():
     assert got == want and want and len(tree.best(tree.pairs())) <= 150
 
 
+def test_tree_lets_clipped_counts_pass():
+    points = np.full((3, jaccard.GROUPS), 32767, np.int16)
+    points[2] = 2
+    tree = jaccard.RTree(points, np.array([20_000_000, 20_000_100, 512]), np.arange(3), 85)
+    assert {tuple(sorted(p)) for p in tree.pairs().tolist()} == {(0, 1)}
+
+
 def test_join_of_odd_rows(spark):
     got = jaccard.join(odd(spark)).collect()
     assert len(got) == len(ODD) and {r.component_id for r in got if r.doc_id == 4} == {4}
