@@ -165,13 +165,17 @@ def _prior(path: str) -> float:
 
 
 def extract(html: str, winners: list[str] | None, least: float = 0.1) -> str:
-    """Blocks inside the containers of the first winning path that holds a fair part of the page, else of the page's own best."""
+    """Blocks inside the containers of the first winning path that holds a fair part of the page and no less text than the
+    page's own best, else of the page's own best."""
     found, nodes = blocks(html)
     own = path_scores(nodes)
-    path = next((p for p in winners or [] if own.get(p, 0.0) >= least), None) or max(own, key=lambda p: (own[p], p.count("/"), p), default=None)
-    if path is None:
+    best = max(own, key=lambda p: (own[p], p.count("/"), p), default=None)
+    if best is None:
         return ""
-    return "\n\n".join(t for t, chain in found if not chain[-1].off and any(n.path == path for n in chain)) if path else ""
+    inside = lambda path: [t for t, chain in found if not chain[-1].off and any(n.path == path for n in chain)]
+    whole = inside(best)
+    fair = (inside(p) for p in winners or [] if own.get(p, 0.0) >= least)
+    return "\n\n".join(next((x for x in fair if sum(map(len, x)) >= sum(map(len, whole))), whole))
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", winners: int = 8, least_share: float = 0.5) -> DataFrame:
@@ -179,7 +183,7 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
 
     Pages vote, in Spark, for the generalised tag-class paths of their best containers (those with ``least_share`` of the
     page's best score), each with its share; a host's ``winners`` paths with most votes, deeper and then lesser paths first
-    in a tie, are applied to all its pages. A page in which none holds anything uses its own best container. Votes are
+    in a tie, are applied to all its pages. A page in which none holds as much as its own best container uses that. Votes are
     summed before they are shuffled, so a host of a third of all pages is no more work than others; the winners, a few
     short paths a host, are broadcast if they are small, else joined.
 

@@ -135,6 +135,15 @@ def test_page_text(spark):
     assert page_text.main_text(df.limit(0)).count() == 0
 
 
+def test_page_text_of_two_templates_on_a_host(spark):
+    lead, body = "lead words here " * 19, "body words there " * 118
+    short = f"<html><body><nav>{'menu ' * 40}</nav><div class=lead>{lead}</div></body></html>"
+    long = f"<html><body><nav>{'menu ' * 40}</nav><div class=lead>{lead}</div><div class=text>{body}</div></body></html>"
+    df = spark.createDataFrame([(i, "http://a.example/x", short if i < 9 else long) for i in range(10)], "page_id int, url string, html string")
+    got = [r.text for r in page_text.main_text(df).orderBy("page_id").collect()]
+    assert got == [lead.strip()] * 9 + [f"{lead.strip()}\n\n{body.strip()}"]
+
+
 def test_forward_backward_is_exact():
     rng = np.random.default_rng(0)
     lengths, scores, trans = np.array([5, 4, 1]), rng.normal(size=(3, 5)), rng.normal(size=(2, 2))
