@@ -150,6 +150,27 @@ def _day(d: Column, key: str, undo: bool) -> Column:
     return _let(F.make_date((F.floor(F.year(d) / 100) * 100).cast("int"), F.lit(1), F.lit(1)), swap)
 
 
+def _late_day(d: Column, key: str, undo: bool) -> Column:
+    """A date from the 13th on, permuted among those of its century: its 1200 months have 12 early days each, so 22,124 are
+    4 x 5531, and the 22,125 of a century that starts with a leap year 125 x 177."""
+    def swap(start: Column) -> Column:
+        long = F.datediff(F.add_months(start, 1200), start) == 36525
+        before = lambda m: F.datediff(F.add_months(start, m.cast("int")), start) - 12 * m
+        month = (F.year(d) - F.year(start)) * 12 + F.month(d) - 1
+        at = before(month) + F.dayofmonth(d) - 13
+        wide = F.when(long, 177).otherwise(5531)
+        state = F.array(_cell(F.floor(at / wide), F.when(long, 125).otherwise(4), 0), _cell(at % wide, wide, 0))
+
+        def back(n: Column) -> Column:
+            guess = F.floor(n / 18.4375).cast("int")
+            months = F.filter(F.sequence(F.greatest(guess - 3, F.lit(0)), F.least(guess + 3, F.lit(1199))), lambda m: before(m) <= n)
+            return _let(F.array_max(months), lambda m: F.date_add(F.add_months(start, m), (n - before(m) + 12).cast("int")))
+
+        return _let(feistel(state, key, "late", undo), lambda s: _let((F.get(s, 0)["x"] * wide + F.get(s, 1)["x"]).cast("int"), back))
+
+    return _let(F.make_date((F.floor(F.year(d) / 100) * 100).cast("int"), F.lit(1), F.lit(1)), swap)
+
+
 def _iso_date(m: Column, key: str, undo: bool) -> Column:
     sep = F.substr(m, F.lit(5), F.lit(1))
     d = F.try_to_date(F.regexp_replace(m, "[/.]", "-"), "yyyy-MM-dd")
@@ -157,7 +178,8 @@ def _iso_date(m: Column, key: str, undo: bool) -> Column:
 
 
 def _date(m: Column, key: str, undo: bool) -> Column:
-    """Day, month, year; month first where the second number can't be a month. Padding as found."""
+    """Day, month, year; month first where the second number can't be a month, and those change among themselves, so that
+    no two dates share a pseudonym. Padding as found."""
     def swap(p: Column) -> Column:
         a, b, y = (F.get(p, i).cast("int") for i in range(3))
         month_first = b > 12
@@ -165,10 +187,12 @@ def _date(m: Column, key: str, undo: bool) -> Column:
         sep = F.regexp_extract(m, "[-/.]", 0)
         short = m.rlike(r"(?:^|[-/.])[1-9][-/.]")
         show = lambda v: F.when(short, v.cast("string")).otherwise(F.lpad(v.cast("string"), 2, "0"))
+        year = lambda n: F.lpad(F.year(n).cast("string"), 4, "0")
 
         def out(d: Column) -> Column:
-            new = _day(d, key, undo)
-            return _let(new, lambda n: F.concat_ws("", F.when(month_first, show(F.month(n))).otherwise(show(F.dayofmonth(n))), sep, F.when(month_first, show(F.dayofmonth(n))).otherwise(show(F.month(n))), sep, F.lpad(F.year(n).cast("string"), 4, "0")))
+            american = _let(_late_day(d, key, undo), lambda n: F.concat_ws("", show(F.month(n)), sep, show(F.dayofmonth(n)), sep, year(n)))
+            other = _let(_day(d, key, undo), lambda n: F.concat_ws("", show(F.dayofmonth(n)), sep, show(F.month(n)), sep, year(n)))
+            return F.when(month_first, american).otherwise(other)
 
         return _let(F.try_to_date(text, "yyyy-MM-dd"), lambda d: F.when(d.isNull() | (F.year(d) < 100), m).otherwise(out(d)))
 
@@ -227,14 +251,14 @@ def replace_all(text: Column, key: str, undo: bool = False) -> Column:
     return F.when(text.rlike(HINT) & text.rlike(ANY), F.array_join(F.zip_with(between, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")).otherwise(text)
 
 
-def pseudonymise(docs: DataFrame, key: str = "quire-pseudonym-key-1", text: str = "text", undo: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", undo: bool = False) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; all columns stay, whatever their names.
 
     E-mail addresses (the part before the @), access keys and assigned secrets, IBANs (mod 97), IPv4 addresses, dates
     that exist (permuted within their century), US social security numbers, payment cards (Luhn) and telephone numbers.
     Values that fail their check stay. Equal values get equal pseudonyms under one ``key`` wherever they stand and
-    however they are separated; ``undo`` with the same key restores them, but for a day-first date that came out of a
-    month-first one. Null and empty texts stay; a column n_chars isn't touched, as lengths don't change but where a
+    however they are separated, and different ones different pseudonyms; ``undo`` with the same key restores them, but for zeros
+    before the day or month of an unpadded date whose pseudonym has two digits in both. Null and empty texts stay; a column n_chars isn't touched, as lengths don't change but where a
     number's are part of its format (IPv4, unpadded dates). An empty table gives an empty one. There is no shuffle.
     """
     return docs.withColumn(text, replace_all(F.col(f"`{text}`"), key, undo))

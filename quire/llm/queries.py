@@ -9,6 +9,8 @@ from quire.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 2048
+#: The setting that names the secret key of pseudonyms, and what stands for it where the session has none, as in tests.
+KEY_SETTING, TEST_KEY = "spark.quire.pseudonym.key", "only for tests"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -22,7 +24,8 @@ def op1_pii(spark, sf_dir):
 
 
 def pseudonymised(docs):
-    return pseudonyms.pseudonymise(docs).withColumn("n_chars", F.length("text").cast("long"))
+    key = docs.sparkSession.conf.get(KEY_SETTING, TEST_KEY)
+    return pseudonyms.pseudonymise(docs, key).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op2_rotation(spark, sf_dir):
