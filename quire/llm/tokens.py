@@ -1,15 +1,15 @@
 """Token counts of texts of any length, and the token ids of whole texts.
 
-Two ways lead to the same ids. Tokenizers that drop white space split every text there, so the ids of a text
-are those of its words in turn; a bounded cache then holds the ids of words already met. Any other tokenizer,
-and every text above ``chunk_chars``, goes through the library itself, in overlapping chunks whose encodings
-are spliced where both agree.
+Texts are encoded in overlapping chunks with offsets, and neighbouring chunks are spliced where both agree. The units of a
+chunk are the library's tokens; for a tokenizer that drops white space they are the words between it, whose ids don't
+depend on each other and come from a bounded cache.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +25,9 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 _SPACE = re.compile(r"[\t-\r ]")
+_WORD = re.compile(r"[^\t-\r ]+")
+#: Characters of a word that the cache may hold, so that it is bounded in bytes too.
+MOST_CACHED = 64
 
 
 class Encoder:
@@ -49,6 +52,7 @@ class Encoder:
             vocab = self.tok.get_vocab()
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.odd: dict[str, bytes] = {}
@@ -68,6 +72,34 @@ class Encoder:
         e = self.tok.encode(text, add_special_tokens=False)
         return e.ids, e.offsets
 
+    def units(self, text: str, a: int, b: int) -> tuple[list[int], list[bytes]]:
+        """Where the units of ``text[a:b]`` start in the text, and the ids of each: words, or tokens of the library."""
+        part = text[a:b]
+        if not self.drops_space:
+            ids, spans = self.with_offsets(part)
+            raw = np.asarray(ids, "<u4").tobytes()
+            return [a + s for s, _ in spans], [raw[i : i + 4] for i in range(0, len(raw), 4)]
+        words = _WORD.findall(part)
+        known = self.words
+        got = list(map(known.get, words))
+        if None in got:
+            if len(known) > self.max_parts:
+                known.clear()
+            got = self._words(words)
+        return [a + m.start() for m in _WORD.finditer(part)], got
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words, those not met before learned at once."""
+        known = self.words
+        new = [w for w in dict.fromkeys(words) if w not in known]
+        plain = [w for w in new if _PLAIN.fullmatch(w) and not self.special.search(w)]
+        self._plain(" ".join(plain))
+        fresh = {w: self._plain(w) for w in plain}
+        odd = [w for w in new if w not in fresh]
+        fresh.update(zip(odd, (np.asarray(x, "<u4").tobytes() for x in (self.library(odd) if odd else [])), strict=True))
+        known.update((w, x) for w, x in fresh.items() if len(w) <= MOST_CACHED)
+        return [fresh[w] if w in fresh else known[w] for w in words]
+
     def ids(self, text: str) -> bytes:
         """Ids of a whole text, as little-endian unsigned 32-bit integers."""
         if not self.drops_space:
@@ -154,70 +186,70 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def spliced_ids(enc: Encoder, text: str, chunk: int, overlap: int, run: int = 8, stats: dict | None = None) -> list[int]:
-    """Ids of a huge text from overlapping chunks.
+def spliced(enc: Encoder, text: str, chunk: int, overlap: int, run: int | None = None, stats: dict | None = None) -> list[bytes]:
+    """Ids of a text, unit by unit, from overlapping chunks.
 
-    Two neighbouring encodings are joined at a token start where both have the same ids and offsets for ``run``
-    tokens on either side of it. For tokenizers that drop white space the start must also follow white space,
-    where no token, merge or normalisation reaches across, so the boundary is proven and not only observed. If
-    no such place lies in the overlap, the right chunk starts further left, with twice the overlap; in the end
-    it starts where the left one did and both are encoded as one.
+    Two neighbouring encodings are joined at a unit start where both have the same starts and ids for ``run`` units on
+    either side (4 words, 8 tokens). For tokenizers that drop white space units are words, so that no token, merge or
+    normalisation reaches across the start: the boundary is proven, not only observed. Tokens must start at white space or
+    just after it, as a long run of one letter agrees with itself anywhere. If no such place lies in the
+    overlap, the right chunk starts further left, with twice the overlap; in the end it starts where the left one did, and
+    both are encoded as one chunk of at least twice the size.
     """
-    def encode(a: int, b: int):
-        ids, spans = enc.with_offsets(text[a:b])
-        return np.asarray(ids, np.int64), np.asarray([s for s, _ in spans], np.int64) + a, np.asarray([e for _, e in spans], np.int64) + a
-
-    n, end = len(text), min(chunk, len(text))
-    ids, starts, ends = encode(0, end)
-    head, begin = [], 0  # settled ids, and where the chunk in hand begins
+    n, begin, end = len(text), 0, min(chunk, len(text))  # begin: of the chunk in hand
+    run = run or (4 if enc.drops_space else 8)
+    starts, ids = enc.units(text, 0, end)
+    out: list[bytes] = []
     while end < n:
-        wide, joined = overlap, False
-        new_end = min(n, end + max(1, chunk - overlap))
-        while not joined:
+        wide, new_end = overlap, min(n, end + max(1, chunk - overlap))
+        while True:
             a = max(begin, end - wide)
             if a == begin:
-                ids, starts, ends = encode(begin, new_end)
+                new_end = min(n, max(new_end, begin + 2 * (end - begin)))
+                first, (starts, ids) = starts[0] if starts else begin, enc.units(text, begin, new_end)
+                keep = bisect_left(starts, first)
+                if keep and starts[keep : keep + 1] != [first]:  # never seen: what was settled doesn't hold, so begin anew
+                    out, begin, keep = [], 0, 0
+                    starts, ids = enc.units(text, 0, new_end)
+                starts, ids = starts[keep:], ids[keep:]
                 break
-            r_ids, r_starts, r_ends = encode(a, new_end)
-            cut = _common(text, enc.drops_space, ids, starts, ends, r_ids, r_starts, r_ends, run)
-            if cut is not None:
+            r_starts, r_ids = enc.units(text, a, new_end)
+            cut = _common(starts, ids, r_starts, r_ids, run, None if enc.drops_space else text)
+            if stats is not None:
+                stats["joined" if cut else "widened"] = stats.get("joined" if cut else "widened", 0) + 1
+            if cut:
                 i, j = cut
-                head.append(ids[:i])
-                ids, starts, ends, joined = r_ids[j:], r_starts[j:], r_ends[j:], True
-                begin = int(starts[0])
-            else:
-                wide *= 2
-                if stats is not None:
-                    stats["widened"] = stats.get("widened", 0) + 1
+                out += ids[:i]
+                starts, ids = r_starts[j:], r_ids[j:]
+                begin = a
+                break
+            wide *= 2
         end = new_end
-    return np.concatenate([*head, ids]).tolist() if head else ids.tolist()
-
-
-def _common(text, proven, li, ls, le, ri, rs, re_, run) -> tuple[int, int] | None:
-    """Token numbers, left and right, of the middlemost start in the overlap around which both encodings agree."""
-    lo = int(np.searchsorted(ls, rs[0])) if len(rs) else len(ls)
-    at = {(int(s), int(e), int(t)): j for j, (t, s, e) in enumerate(zip(ri, rs, re_, strict=True)) if not len(le) or s <= le[-1]}
-    same = np.zeros(len(li), np.int64)  # length of the agreeing run that ends here
-    to = np.full(len(li), -1, np.int64)
-    for i in range(lo, len(li)):
-        j = at.get((int(ls[i]), int(le[i]), int(li[i])), -1)
-        to[i] = j
-        if j >= 0:
-            same[i] = same[i - 1] + 1 if i and to[i - 1] == j - 1 and same[i - 1] else 1
-    good = [i for i in range(lo + run, len(li) - run) if same[i + run - 1] >= 2 * run and (not proven or _SPACE.match(text, int(ls[i]) - 1))]
-    if not good:
-        return None
-    i = good[len(good) // 2]
-    return i, int(to[i])
+    return out + ids
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, text: str = "text", key: str = "doc_id", chunk_chars: int = 32_768, overlap_chars: int = 1_024) -> DataFrame:
+def _common(ls: list[int], li: list[bytes], rs: list[int], ri: list[bytes], run: int, text: str | None) -> tuple[int, int] | None:
+    """Numbers, left and right, of the middlemost unit start in the overlap around which both encodings agree; if ``text`` is
+    given, of those at white space."""
+    if not rs or not ls:
+        return None
+    at = {s: j for j, s in enumerate(rs[: 2 + bisect_right(rs, ls[-1])])}
+    good, same, last = [], 0, -2
+    for i in range(bisect_left(ls, rs[0]), len(ls)):
+        j = at.get(ls[i], -1)
+        same = 0 if j < 0 or li[i] != ri[j] else same + 1 if j == last + 1 else 1
+        last = j
+        if same >= 2 * run and (text is None or _SPACE.search(text, max(0, ls[i - run + 1] - 1), ls[i - run + 1] + 1)):
+            good.append((i - run + 1, j - run + 1))
+    return good[len(good) // 2] if good else None
+
+
+def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, text: str = "text", key: str = "doc_id", chunk_chars: int = 2_048, overlap_chars: int = 192) -> DataFrame:
     """Tokens of every whole text: ``key, n_bytes, n_tokens, over_limit`` (more tokens than ``limit``).
 
-    Null and empty texts count 0 bytes and 0 tokens; repeated rows are counted one by one; other columns,
-    whatever their names, are left out; an empty table gives an empty one. Texts of more than ``chunk_chars``
-    characters are encoded in overlapping chunks (spliced_ids), so one task holds a text and the tokens of two
-    chunks. There is no shuffle.
+    Null and empty texts count 0 bytes and 0 tokens; repeated rows are counted one by one; other columns, whatever their
+    names, are left out; an empty table gives an empty one. Texts are encoded in overlapping chunks (spliced), so a task
+    holds a text and the units of two chunks at a time. There is no shuffle.
     """
     small_batches(docs.sparkSession)
 
@@ -225,17 +257,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, text: str =
         enc = encoder(tokenizer)
         for b in batches:
             texts = b.column(1).to_pylist()
-            n, size = [], []
-            for t in texts:
-                size.append(len(t.encode()) if t else 0)
-                if not t:
-                    n.append(0)
-                elif len(t) > chunk_chars:
-                    n.append(len(spliced_ids(enc, t, chunk_chars, overlap_chars)))
-                else:
-                    n.append(len(enc.all_ids(t)) // 4)
+            size = [len(t.encode()) if t else 0 for t in texts]
+            n = [sum(map(len, spliced(enc, t, chunk_chars, overlap_chars))) // 4 if t else 0 for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["key", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))
     return rows.mapInArrow(count, f"key {kind}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed("key", key)
