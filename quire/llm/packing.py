@@ -123,27 +123,31 @@ def mutate(p: Packing, counts: dict[int, int], capacity: int, rng: random.Random
     return best_fit(gone, capacity, kept, ordered)
 
 
-def evolve(population: list[Packing], counts: dict[int, int], capacity: int, generations: int, seed: int, keep: int) -> list[Packing]:
+def evolve(population: list[Packing], counts: dict[int, int], capacity: int, generations: int, seed: int, keep: int, most_patterns: int | None = None) -> list[Packing]:
+    """At least one generation and at most ``generations``, ending early at the lower bound. A child as good as its parents
+    takes their place, so what comes out went through crossover wherever that did no harm. Children of more than
+    ``most_patterns`` different patterns (8 for each token of capacity) aren't kept: that bounds a packing's size in memory
+    and costs no items, as every packing that stays is a whole one."""
     rng = random.Random(seed)
     bound = -(-sum(x * n for x, n in counts.items()) // capacity)
     best = lambda pop: sorted(pop, key=lambda p: fitness(p, capacity), reverse=True)
-    limit = 8 * capacity  # patterns of one packing
+    limit = most_patterns or 8 * capacity
     while len(population) < keep:
         noise = rng.uniform(0.0, 0.2)
         population.append(best_fit(counts, capacity, order=sorted(counts, key=lambda x: -x * (1 - rng.random() * noise))))
     population = best(population)
-    for _ in range(generations):
-        if size(population[0]) <= bound:
+    for n in range(generations):
+        if n and size(population[0]) <= bound:
             break
         children = []
-        for _ in range(keep // 2):
+        for _ in range(max(1, keep // 2)):
             a, b = rng.sample(population, 2) if len(population) > 1 else (population[0], population[0])
             child = crossover(a, b, counts, capacity, rng)
             if rng.random() < 0.5:
                 child = mutate(child, counts, capacity, rng)
             if len(child) <= limit:
                 children.append(child)
-        population = best([*population, *children])[:keep]
+        population = best([*children, *population])[:keep]
     return population
 
 
@@ -162,7 +166,7 @@ def pack_histogram(spark, counts: dict[int, int], capacity: int, islands: int =
         elite = evolved.where("place = 0")
         rows = evolved.select("island", "packing").union(elite.select(((F.col("island") + 1) % islands).cast("int").alias("island"), "packing"))
         best = elite.orderBy("sequences", "island").select("sequences", "packing").limit(1).collect()[0]
-        if best.sequences <= bound:
+        if best.sequences <= bound and epoch:  # the elite has moved on at least once
             break
     given.unpersist()
     return pickle.loads(best.packing)
@@ -197,7 +201,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, text: str = "te
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (b.schema.types[0], pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["key", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(F.col(key).alias("key"), F.col(text).alias("body")).mapInArrow(cut, f"key {kind}, piece int, start long, length long, ids_crc32 long")
+    out = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body")).mapInArrow(cut, f"key {kind}, piece int, start long, length long, ids_crc32 long")
     return out.withColumnRenamed("key", key)
 
 
@@ -220,15 +224,15 @@ def ranked(pieces: DataFrame, counts: dict[int, int], key: str) -> DataFrame:
     spark = pieces.sparkSession
     total = sum(counts.values())
     target = max(1024, math.isqrt(total))
-    many = {x: -(-n // target) for x, n in counts.items()}
+    many = {x: -(-n // target) for x, n in counts.items()}  # rows, not keys, are dealt: alike rows spread over buckets too
     buckets = F.element_at(F.create_map(*[F.lit(int(v)) for kv in sorted(many.items()) if kv[1] > 1 for v in kv]), F.col("length").cast("int")) if any(v > 1 for v in many.values()) else F.lit(1)
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64(key, "piece"), F.coalesce(buckets, F.lit(1)).cast("long")))
+    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("row"), F.coalesce(buckets, F.lit(1)).cast("long")))
     shift = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     shift = shift.withColumn("shift", F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).drop("n")
-    mine = Window.partitionBy("length", "bucket").orderBy(key, "piece", "start", "ids_crc32")
+    mine = Window.partitionBy("length", "bucket").orderBy(f"`{key}`", "piece", "start", "ids_crc32", "row")
     local = dealt.withColumn("local", F.row_number().over(mine) - 1)
     shift = bounded(shift, sum(many.values()), 64)
-    return local.join(shift, ["length", "bucket"]).withColumn("rank", F.col("local") + F.col("shift")).drop("local", "shift", "bucket")
+    return local.join(shift, ["length", "bucket"]).withColumn("rank", F.col("local") + F.col("shift")).drop("local", "shift", "bucket", "row")
 
 
 def place(pieces: DataFrame, p: Packing, key: str) -> DataFrame:
@@ -248,7 +252,7 @@ def place(pieces: DataFrame, p: Packing, key: str) -> DataFrame:
             cols = [b.column(c) for c in (key, "piece", "start", "length", "ids_crc32")]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(seq[i] + j // each[i], pa.int64()), pa.array(at[i] + j % each[i] * length, pa.int64())], [key, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return pieces.select(key, "piece", "start", "length", "ids_crc32", F.col("rank").cast("long").alias("rank")).mapInArrow(find, f"`{key}` {types[key].simpleString()}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return pieces.select(f"`{key}`", "piece", "start", "length", "ids_crc32", F.col("rank").cast("long").alias("rank")).mapInArrow(find, f"`{key}` {types[key].simpleString()}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, text: str = "text", key: str = "doc_id", end_id: int = 0, islands: int = 4, epochs: int = 3) -> DataFrame:
@@ -258,7 +262,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, text: str = "tex
     packed once for each time it is there; other columns are left out; an empty table gives an empty one. Pieces go
     to the shared folder once, so that nothing is tokenized twice and ranks can't change when an executor is lost.
     """
-    pieces = stable(token_pieces(docs, tokenizer, capacity, text, key, end_id), "pieces")
+    pieces = stable(token_pieces(docs, tokenizer, capacity, text, key, end_id).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # capacity rows at most
     best = pack_histogram(docs.sparkSession, counts, capacity, islands, epochs)
     return place(ranked(pieces, counts, key), best, key)
