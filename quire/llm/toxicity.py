@@ -23,8 +23,12 @@ def features(word: str) -> tuple[str, ...]:
 
 
 def lines_of(text: str) -> list[list[str]]:
-    """The chains of a text: the words of each of its lines, in lower case."""
-    return [w for line in text.lower().split("\n") if (w := _WORD.findall(line))]
+    """The chains of a text: the words of each of its lines, in lower case. Words are found before they are lowered where
+    that changes lengths, so that every word has its place in the text."""
+    low = text.lower()
+    if len(low) == len(text):
+        return [w for line in low.split("\n") if (w := _WORD.findall(line))]
+    return [[x.lower() for x in w] for line in text.split("\n") if (w := _WORD.findall(line))]
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -232,18 +236,16 @@ def spans_of(model: Field, text: str, marginals: list[np.ndarray], least: float
     out, at, k = [], 0, 0
     for line in text.split("\n"):
         words = [m.span() for m in _WORD.finditer(line)]
-        if _WORD.findall(line.lower()):
-            p = marginals[k]
+        if words:
+            p, last = marginals[k], None
             k += 1
-            last = None
-            if len(words) == len(p):
-                for i in np.flatnonzero(p >= least):
-                    s, e = words[i]
-                    if last == i - 1:
-                        out[-1] = (out[-1][0], at + e, max(out[-1][2], float(p[i])))
-                    else:
-                        out.append((at + s, at + e, float(p[i])))
-                    last = i
+            for i in np.flatnonzero(p >= least):
+                s, e = words[i]
+                if last == i - 1:
+                    out[-1] = (out[-1][0], at + e, max(out[-1][2], float(p[i])))
+                else:
+                    out.append((at + s, at + e, float(p[i])))
+                last = i
         at += len(line) + 1
     return out
 
@@ -252,7 +254,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Toxicity of every whole text: ``key, held_out, score, predicted, spans``.
 
     The field learns from labelled rows whose crc32(key as text) mod 3 isn't 1 (those are ``held_out``): the first
-    ``sample_docs`` of either label by a hash of the key, of at most ``sample_chars`` characters each; that is all the
+    ``sample_docs`` of either label by a hash of the key, a text of at most ``sample_chars`` characters each; that is all the
     driver gets, and the model, a few MB, all that is broadcast. Scoring covers every text in full and has no shuffle.
     Spans are the offending character offsets with the greatest marginal in each.
 
@@ -270,7 +272,8 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     for y in (0, 1):
         some = given.where(F.col("y") == y).orderBy(order, "its").limit(sample_docs)
         chosen = some if chosen is None else chosen.union(some)
-    sample = rows.where(F.length("body") <= sample_chars).join(F.broadcast(chosen), F.col("key") == F.col("its")).select("key", "body", "y").toPandas()
+    sample = rows.where(F.length("body") <= sample_chars).join(F.broadcast(chosen), F.col("key") == F.col("its"))
+    sample = sample.groupBy("key").agg(F.min("body").alias("body"), F.first("y").alias("y")).toPandas()  # a row a key
     sample = sample.sort_values(["key", "body"], ignore_index=True)
     model = fit(sample.body.tolist(), sample.y.tolist())
     shared = spark.sparkContext.broadcast(model)
