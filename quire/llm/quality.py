@@ -39,23 +39,28 @@ def _let(value: Column, body) -> Column:
 def repeated_words(ws: Column, width: int = 3) -> Column:
     """How many words lie in windows of ``width`` words that occur twice or more in the text.
 
-    Windows are compared by a 64-bit hash. Texts whose window hashes are all distinct, which is nearly every text, end
-    there; for the others the hashes are sorted with their places, and the places next to an equal hash are covered.
+    Windows are first compared by a 64-bit hash: texts whose window hashes are all distinct end there. For the others the
+    hashes are sorted with their places; those next to an equal hash, few as a rule, are then sorted by their words, and the
+    places next to equal words are covered.
     """
     def windows(w: Column) -> Column:
         last = F.size(w) - width
         return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(width)]))).otherwise(F.array().cast("array<bigint>"))
 
-    def covered(h: Column) -> Column:
+    def twice(s: Column, by: str) -> Column:
+        return F.filter(s, lambda x, i: (F.get(s, i - 1)[by] == x[by]) | (F.get(s, i + 1)[by] == x[by]))
+
+    def covered(w: Column, h: Column) -> Column:
         placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        alike = _let(placed, lambda s: twice(s, "h"))
+        worded = F.sort_array(F.transform(alike, lambda x: F.struct(F.array_join(F.slice(w, x["i"] + 1, width), " ").alias("g"), x["i"].alias("i"))))
 
         def places(s: Column) -> Column:
-            twice = F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"]))
-            return F.size(F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(*[x["i"] + k for k in range(width)])))))
+            return F.size(F.array_distinct(F.flatten(F.transform(twice(s, "g"), lambda x: F.array(*[x["i"] + k for k in range(width)])))))
 
-        return _let(placed, places)
+        return _let(worded, places)
 
-    return _let(windows(ws), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h))).cast("long")
+    return _let(windows(ws), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(ws, h))).cast("long")
 
 
 def metrics(text: Column) -> dict[str, Column]:
@@ -108,7 +113,7 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", rules: list[
     repeated windows). Repeated rows are judged one by one; other columns are left out, whatever their names; an empty
     table gives an empty one. One narrow stage: no shuffle and no user function.
     """
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))
     rows = rows.select("key", "body", words(F.col("body")).alias("ws"))
     rows = rows.select("key", *[c.alias(k) for k, c in metrics(F.col("body")).items()], *[c.alias(k) for k, c in word_metrics(F.col("ws")).items()])
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -116,16 +121,20 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", rules: list[
     return rows.select(F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & good).alias("kept"), names.alias("failed_rules"))
 
 
-def keep(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the base and the rules keep, with all their columns."""
+def keep(docs: DataFrame, text: str = "text", rules: list[tuple[str, str, float | None, float | None]] = RULES, least_words: int = 50) -> DataFrame:
+    """The rows of ``docs`` that the base and the rules keep, with all their columns, whatever their names.
+
+    A null, empty or blank text has no words and fails the base; equal rows are judged one by one; an empty table gives an
+    empty one. One narrow stage: no shuffle and no user function.
+    """
     names = docs.columns
     body = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col(f"`{text}`").alias("body"))
     body = body.select("row", "body", words(F.col("body")).alias("ws"))
     # a column that isn't deterministic keeps the filter above the counts; pushed below, it would repeat them for every rule
     held = F.spark_partition_id().alias("held")
     body = body.select("row", *[c.alias(k) for k, c in metrics(F.col("body")).items()], *[c.alias(k) for k, c in word_metrics(F.col("ws")).items()], held)
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return body.where(~base & verdict()[0] & (F.col("held") >= 0)).select("row.*")
+    base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return body.where(~base & verdict(rules)[0] & (F.col("held") >= 0)).select("row.*")
 
 
 _STOP = ", ".join("'" + x + "'" for x in sorted({x for v in STOP_WORDS.values() for x in v.split()}))
