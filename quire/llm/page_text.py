@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import bounded, small_batches, stable
 
+#: Attributes end at the next "<" outside quotes and are never tried again, so that broken tags take linear time; a tag whose
+#: quotes don't close ends at its next ">".
+_ATTRS = r"(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|template|textarea|iframe|title|svg|xmp|math)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|</(?P<end>[a-z][^\s>/]*)[^>]*>|<(?P<tag>[a-z][^\s>/]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|template|textarea|iframe|title|svg|xmp|math)\b(?:{_ATTRS}>|[^<>]*+>).*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|</(?P<end>[a-z][^\s>/]*)[^<>]*>?|<(?P<tag>[a-z][^\s<>/]*)(?:(?P<attrs>{_ATTRS})>|(?P<broken>[^<>]*+)>)|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
 _ATTR = re.compile(r"([a-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -22,13 +25,19 @@ _ATTR = re.compile(r"([a-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))
 #: Elements that begin a block of text, and those that never have an end tag.
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements and words of classes, ids and roles that mark what is not the article.
+#: Elements and class words that mark what is not the article.
 OFF_TAGS = frozenset("nav footer aside form button select option fieldset dialog menu head label legend search frameset".split())
 OFF_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar side footer foot masthead topbar notice notices alert cookie cookies "
+    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs sidebar footer foot masthead topbar notice notices alert cookie cookies "
     "consent gdpr popup modal overlay newsletter subscribe subscription share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond responses discussion login signin signup "
     "register search searchbox widget toolbar pagination pager copyright contentinfo complementary hidden skip toc tags outbrain taboola paywall".split()
 )
+#: Of these, what an element inside a paragraph may say.
+INLINE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsored promo hidden".split())
+#: Last parts of a class that say how something is laid out, not what it is.
+LAYOUT = frozenset("box list wrapper wrap container section area block link links bar inner outer form button buttons icons panel posts articles stories item items slot unit content holder group".split())
+#: First parts of a class that say what something has or hasn't, not what it is.
+ABOUT = frozenset("has have no not non with without is in show hide on off".split())
 HEADER_WORDS = frozenset({"header", "head", "banner", "top"})
 #: An element of these closes an open element of the same kind.
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -37,12 +46,13 @@ _WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
-    """A container: its generalised path, and the words in it that may belong to an article and that may not."""
+    """A container: its generalised path, whether its element (``hard``) or a word of its classes (``off``) says that it is
+    not of the article, what holds it, and the characters in it that may belong to an article and that may not."""
 
-    __slots__ = ("tag", "path", "off", "good", "bad", "main")
+    __slots__ = ("tag", "path", "off", "hard", "good", "bad", "main", "up")
 
-    def __init__(self, tag: str, path: str, off: bool, main: bool):
-        self.tag, self.path, self.off, self.main = tag, path, off, main
+    def __init__(self, tag: str, path: str, hard: bool, off: bool, main: bool, up: Node | None):
+        self.tag, self.path, self.hard, self.off, self.main, self.up = tag, path, hard, off, main, up
         self.good = self.bad = 0
 
 
@@ -56,26 +66,35 @@ def _step(tag: str, attrs: dict[str, str]) -> str:
     return ".".join([tag, *classes]) if classes else tag
 
 
+def _hidden(attrs: dict[str, str]) -> bool:
+    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")))
+
+
+def _says(attrs: dict[str, str], words: frozenset[str]) -> bool:
+    """Whether a class, id or role as a whole is one of ``words``, or its last part but for layout words is (site-footer, adBanner, ad-box) and its first
+    doesn't only tell what there is (has-sidebar, no-comments)."""
+    for name in ("class", "id", "role"):
+        for token in re.sub(r"([a-z])([A-Z])", r"\1-\2", attrs.get(name, "")).lower().split():
+            parts = _WORDS.findall(token)
+            while len(parts) > 1 and parts[-1] in LAYOUT:
+                parts.pop()
+            if parts and parts[-1] in words and (len(parts) == 1 or parts[0] not in ABOUT):
+                return True
+    return False
+
+
 def _is_off(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
-    if tag in OFF_TAGS or "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
-        return True
     if tag in ("html", "body", "article", "main"):
         return False
-    said = set()
-    for name in ("class", "id", "role"):
-        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", attrs.get(name, "")).lower()
-        said.update(_WORDS.findall(value))
-    if said & OFF_WORDS:
-        return True
-    return not in_main and (tag == "header" or bool(said & HEADER_WORDS))
+    return _says(attrs, OFF_WORDS) or not in_main and (tag == "header" or _says(attrs, HEADER_WORDS))
 
 
 def blocks(html: str) -> tuple[list[tuple[str, list[Node]]], list[Node]]:
     """Blocks of text in page order with the containers that hold them, outermost first, and all containers."""
-    root = Node("", "", False, False)
+    root = Node("", "", False, False, False, None)
     stack, nodes, out, run = [root], [], [], []
-    link = 0
-    linked = 0
+    link = linked = 0
+    mute: list = []  # an element inside a paragraph that isn't of the article, and how many of its kind are open in it
 
     def flush():
         nonlocal linked
@@ -83,31 +102,33 @@ def blocks(html: str) -> tuple[list[tuple[str, list[Node]]], list[Node]]:
             text = " ".join(unescape("".join(run)).split())
             run.clear()
             if text:
-                n = len(text)
-                off = stack[-1].off
-                bad = n if off else min(linked, n)
-                for s in stack:
-                    s.good += n - bad
-                    s.bad += bad
-                out.append((text, stack[1:]))
+                out.append((text, stack[1:], min(linked, len(text))))
         linked = 0
 
     for m in _TOKEN.finditer(html):
         kind = m.lastgroup
         if kind == "text":
-            run.append(m["text"])
-            if link:
-                linked += len(m["text"])
+            if not mute:
+                run.append(m["text"])
+                if link:
+                    linked += len(m["text"])
         elif m["tag"]:
             tag = m["tag"].lower()
+            raw = m["attrs"] if m["attrs"] is not None else m["broken"]
             if tag == "br":
                 run.append(" ")
             elif tag == "a":
                 link = 1
             if tag not in BLOCKS:
+                if mute:
+                    mute[1] += tag == mute[0]
+                elif raw and tag not in VOID and not raw.endswith("/"):
+                    attrs = _attributes(raw)
+                    if _hidden(attrs) or _says(attrs, INLINE_WORDS):
+                        mute = [tag, 1]
                 continue
             flush()
-            link = 0
+            link, mute = 0, []
             if tag in VOID:
                 continue
             closes = SELF_CLOSING.get(tag, {"p"} if tag not in ("html", "body") else set())
@@ -116,23 +137,27 @@ def blocks(html: str) -> tuple[list[tuple[str, list[Node]]], list[Node]]:
                     del stack[i:]
                 elif stack[i].tag in _SCOPE:
                     break
-            raw = m["attrs"]
             attrs = _attributes(raw) if raw else {}
             if tag == "body" and any(s.tag == "body" for s in stack):
                 continue
             if tag == "body" and stack[-1].tag == "head":
                 stack.pop()
             up = stack[-1]
-            node = Node(tag, f"{up.path}/{_step(tag, attrs)}", up.off or _is_off(tag, attrs, up.main), up.main or tag in ("article", "main"))
+            node = Node(tag, f"{up.path}/{_step(tag, attrs)}", up.hard or tag in OFF_TAGS or _hidden(attrs), _is_off(tag, attrs, up.main), up.main or tag in ("article", "main"), up)
             stack.append(node)
             nodes.append(node)
         elif m["end"]:
             tag = m["end"].lower()
             if tag == "a":
                 link = 0
+            if mute and tag == mute[0]:
+                mute[1] -= 1
+                if not mute[1]:
+                    mute = []
             if tag not in BLOCKS:
                 continue
             flush()
+            mute = []
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     del stack[i:]
@@ -142,7 +167,35 @@ def blocks(html: str) -> tuple[list[tuple[str, list[Node]]], list[Node]]:
         elif m["raw"] is None and m[0].startswith("<![CDATA["):
             run.append(m[0][9:].removesuffix("]]>"))
     flush()
-    return out, nodes
+    _settle(out, nodes)
+    for text, chain, n_linked in out:
+        bad = len(text) if chain and chain[-1].off else n_linked
+        for s in chain:
+            s.good += len(text) - bad
+            s.bad += bad
+    return [(text, chain or [root]) for text, chain, _ in out], nodes
+
+
+def _settle(found: list[tuple[str, list[Node], int]], nodes: list[Node]) -> None:
+    """Decide which containers are off, and hand that down. A word of a class doesn't exclude a container that holds most of
+    the page's text, links apart, if little would be left without it and nothing in an article or main element."""
+    held: dict[int, int] = {}
+    whole = left = named = 0
+    for text, chain, n_linked in found:
+        if chain and chain[-1].hard:
+            continue
+        n = len(text) - n_linked
+        whole += n
+        if not any(s.off for s in chain):
+            left += n
+            named += n if chain and chain[-1].main else 0
+        for s in chain:
+            if s.off:
+                held[id(s)] = held.get(id(s), 0) + n
+    spare = 4 * left < whole and not named
+    for node in nodes:  # a container comes after what holds it
+        own = node.off and not (spare and 2 * held.get(id(node), 0) > whole)
+        node.off = node.hard or own or (node.up is not None and node.up.off)
 
 
 def path_scores(nodes: list[Node]) -> dict[str, float]:
