@@ -47,23 +47,28 @@ def matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.empty((0, 0))
 
 
-def top(scores: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, allowed: np.ndarray | None = None) -> pd.DataFrame:
-    """The best ``k`` of every query (row of scores), ties to the smaller id, a query's own id left out."""
-    s = np.where(ids[None] == queries[:, None], -np.inf, scores)
+def top(x: np.ndarray, ids: np.ndarray, q: np.ndarray, queries: np.ndarray, k: int, allowed: np.ndarray | None = None) -> pd.DataFrame:
+    """The best ``k`` rows of ``x`` for every query, ties to the smaller id, a query's own id left out.
+
+    A matrix product, whose last bits depend on the shape of the block, only sorts out the far; what is within rounding of
+    the best ``k`` is ranked again by inner products summed in one order, so that equal vectors score alike everywhere.
+    """
+    s = q @ x.T
+    s[ids[None] == queries[:, None]] = -np.inf
     if allowed is not None:
-        s = np.where(allowed, s, -np.inf)
+        s[~allowed] = -np.inf
+    slack = 1e-9 * np.linalg.norm(q, axis=1) * (np.linalg.norm(x, axis=1).max() if len(x) else 0.0)
+    least = -np.partition(-s, k - 1, axis=1)[:, k - 1] - slack if s.shape[1] > k else np.full(len(s), -np.inf)
     out_q, out_i, out_s = [], [], []
-    if s.shape[1] > k:
-        least = -np.partition(-s, k - 1, axis=1)[:, k - 1]
-    else:
-        least = np.full(len(s), -np.inf)
     for r in range(len(s)):
         near = np.flatnonzero((s[r] >= least[r]) & (s[r] > -np.inf))
+        score = (x[near] * q[r]).sum(axis=1)
         if len(near) > k:
-            near = near[np.lexsort((ids[near], -s[r, near]))[:k]]
+            first = np.lexsort((ids[near], -score))[:k]
+            near, score = near[first], score[first]
         out_q.append(np.full(len(near), queries[r]))
         out_i.append(ids[near])
-        out_s.append(s[r, near])
+        out_s.append(score)
     cat = lambda x, t: np.concatenate(x).astype(t) if x else np.empty(0, t)
     return pd.DataFrame({"query_id": cat(out_q, np.int64), "vec_id": cat(out_i, np.int64), "score": cat(out_s, np.float64)})
 
@@ -79,19 +84,27 @@ def cell_scores(projected: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return np.hstack(parts) @ np.hstack(ones).T if parts else total
 
 
-def _search_block(hashes_, table_of_threshold: float, k: int):
+def _search_block(hashes_, bound: float, k: int, slice_: int = 512):
+    """Rows of one part of a table against its queries: a query's buckets are those whose estimated distance, the sum of
+    squared steps to the bucket's cell, is within ``bound``; a slice of queries at a time is held as a matrix."""
     def search(key, data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if data.empty or queries.empty:
             return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
         h, t = hashes_.value, int(key[0])
-        x, q = matrix(data.embedding), matrix(queries.embedding)
-        allowed = cell_scores(h.queries(q)[:, t], np.floor(h.data(x)[:, t])) <= table_of_threshold
-        return top(q @ x.T, data.vec_id.to_numpy(), queries.vec_id.to_numpy(), k, allowed)
+        x, ids = matrix(data.embedding), data.vec_id.to_numpy()
+        buckets, of = np.unique(np.floor(h.data(x)[:, t]), axis=0, return_inverse=True)
+        out = []
+        for i in range(0, len(queries), slice_):
+            some = queries.iloc[i : i + slice_]
+            q = matrix(some.embedding)
+            visited = cell_scores(h.queries(q)[:, t], buckets) <= bound
+            out.append(top(x, ids, q, some.vec_id.to_numpy(), k, visited[:, of.ravel()]))
+        return pd.concat(out, ignore_index=True)
 
     return search
 
 
-def neighbours(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: str = "embedding", tables: int = 4, width: int = 10, cell: float = 1.5, coarse: int = 2, recall: float = 0.96, sample_queries: int = 128, chunk: int = 4096, seed: int = 11) -> DataFrame:
+def neighbours(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", vector: str = "embedding", tables: int = 4, width: int = 10, cell: float = 1.5, coarse: int = 2, recall: float = 0.96, sample_queries: int = 128, chunk: int = 4096, query_chunk: int = 4096, seed: int = 11) -> DataFrame:
     """The ``k`` vectors of largest inner product for every row that ``is_query`` (a condition on columns) picks:
     ``query_id, rank, vec_id, score``.
 
@@ -132,7 +145,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", v
             if not len(b):
                 continue
             x = matrix(b.embedding)
-            found = top(q @ x.T, b.vec_id.to_numpy(), ids, k)
+            found = top(x, b.vec_id.to_numpy(), q, ids, k)
             at, row = {i: j for j, i in enumerate(ids)}, {i: j for j, i in enumerate(b.vec_id)}
             cells = np.floor(h.data(x))
             qi, xi = [at[i] for i in found.query_id], [row[i] for i in found.vec_id]
@@ -173,7 +186,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, key: str = "vec_id", v
     def visited(queries: DataFrame, bound: float) -> DataFrame:
         asked = queries.mapInPandas(ask_within(bound), shape)
         counts = laid.groupBy("t", "part").agg(F.count(F.lit(1)).alias("nd")).join(asked.groupBy("t", "part").agg(F.count(F.lit(1)).alias("nq")), ["t", "part"])
-        counts = stable(counts.select("t", "part", F.ceil(F.col("nd") / chunk).cast("int").alias("cd"), F.ceil(F.col("nq") / 512).cast("int").alias("cq")), "counts")
+        counts = stable(counts.select("t", "part", F.ceil(F.col("nd") / chunk).cast("int").alias("cd"), F.ceil(F.col("nq") / query_chunk).cast("int").alias("cq")), "counts")
         small = bounded(counts, counts.count(), 64)
         of = lambda n: F.pmod(F.xxhash64("vec_id", F.lit(n)), F.col(n).cast("long")).cast("int")
         dealt = laid.join(small, ["t", "part"]).withColumn("i", of("cd")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cq") - 1))).drop("cd", "cq")
