@@ -19,16 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower Spark's default Arrow batch of 10,000 rows; a value that the user chose stays."""
+    """Lower Spark's default Arrow batch of 10,000 rows, for as long as the session has that default; a value that the user
+    chose stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(ARROW_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one is made only where the session names none."""
+    """The folder that all executors share. Where the session names none, a local one is made, but only for a local master:
+    on a cluster every executor would write to its own disk."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = f"file://{tempfile.mkdtemp(prefix='quire-')}"
         spark.conf.set("spark.checkpoint.dir", where)
         atexit.register(shutil.rmtree, where.removeprefix("file://"), ignore_errors=True)
@@ -37,14 +41,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stable(df: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared folder and read them back: later plans neither recompute them nor depend on executors' disks.
-    A local folder is emptied when the driver's Python ends; in another store the files stay for its own expiry."""
+
+    The shuffle files of the writing job go when it ends. The table goes with ``discard`` once its last reader is done, and
+    a local one at the latest when the driver's Python ends; in another store what is left stays for its own expiry."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quire-{name}-{uuid.uuid4().hex}"
     schema = df.schema
     if path.startswith("file://"):
         atexit.register(shutil.rmtree, path.removeprefix("file://"), ignore_errors=True)
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    tidy = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(tidy, "false")
+    spark.conf.set(tidy, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(tidy, before)
+    out = spark.read.schema(schema).parquet(path)
+    out._quire_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that ``stable`` returned and that nothing reads any more; anything else is left alone."""
+    for df in tables:
+        path = getattr(df, "_quire_path", None)
+        if path:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def numbered(df: DataFrame, name: str = "_row") -> DataFrame:

@@ -17,15 +17,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import bounded, numbered, small_batches, stable
+from quire.llm.common import bounded, discard, small_batches, stable
 
 GROUPS = 256
 LEAF = 16
+#: Tiles that a task compares with each other before they are shuffled, documents among them at most, entries that one
+#: step of the meeting task holds, and entries of one row.
+CHUNK_TILES, CHUNK_DOCS, STEP_TILES, BLOB = 1 << 21, 1 << 16, 3 << 20, 1 << 14
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -119,54 +122,242 @@ def tiles(u: np.ndarray, percent: int, table: list[tuple[int, int, int]], firsts
 
 
 def point(u: np.ndarray) -> np.ndarray:
-    """Counts of a set's hashes in GROUPS groups; sets too large for that many have more than a 16-bit count only beyond
-    8 million shingles, and are then compared by the exact sets alone (a count of 32767 stands for any above)."""
-    return np.bincount((mixed(u ^ _M2) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).clip(0, 32767).astype(np.int16)
+    """Counts of a set's hashes in GROUPS groups."""
+    return np.bincount((mixed(u ^ _M2) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
-def signatures(docs: DataFrame, k: int, percent: int, key: str, text: str, top: int = 1 << 40) -> DataFrame:
-    """One row per document: ``key, n, node, check, tiles``. ``node`` and ``check`` are two 64-bit fingerprints of the set
-    (null if it is empty); a task lists the tiles of a set once, so that copies are dropped before the shuffle."""
-    small_batches(docs.sparkSession)
+def node_of(u: np.ndarray) -> int:
+    """A set's 64-bit fingerprint."""
+    return int(mixed(u * _M1 + _P).sum(dtype=np.uint64).astype(np.int64))
+
+
+class Chunk:
+    """Tiles of some documents of one task, brought together before they are shuffled.
+
+    Of the documents of a chunk that share a tile only one goes on with it; the others are noted as members beside it. So a
+    tile that very many documents share is shuffled once for each chunk, not once for each document.
+    """
+
+    def __init__(self, spots: int, subs: int):
+        self.spots, self.subs = spots, subs
+        self.clear()
+
+    def clear(self) -> None:
+        self.nodes: list[int] = []
+        self.tiles: list[np.ndarray] = []
+        self.seen: set[int] = set()
+        self.n = 0
+
+    def add(self, node: int, t: np.ndarray) -> None:
+        self.seen.add(node)
+        self.nodes.append(node)
+        self.tiles.append(t)
+        self.n += len(t)
+
+    def full(self) -> bool:
+        return self.n >= CHUNK_TILES or len(self.nodes) >= CHUNK_DOCS
+
+    def rows(self) -> Iterator[tuple[int, int, bytes]]:
+        """(spot, sub, blob): entries for each of the spots x subs parts that tiles are dealt to by their upper halves, and
+        members of what the chunk joined (sub -1), spread over all spots."""
+        if not self.n:
+            return self.clear()
+        t = np.concatenate(self.tiles)
+        d = np.repeat(np.arange(len(self.nodes)), [len(x) for x in self.tiles])
+        node = np.asarray(self.nodes, np.int64)
+        self.clear()
+        order = np.argsort(t)
+        t, d = t[order], d[order]
+        first = np.concatenate([[True], t[1:] != t[:-1]])
+        begin = np.flatnonzero(first)
+        size = np.diff(np.append(begin, len(t)))
+        parts = self.spots * self.subs
+        part = ((t >> _S32) * np.uint64(parts)) >> _S32
+        name = ((part << _S32) | (t & np.uint64(0xFFFFFFFF))).astype(np.int64)
+        if (size > 1).any():
+            joined = np.repeat(size > 1, size)
+            local = np.stack([name[joined], node[d[joined]], node[np.repeat(d[begin], size)[joined]]], axis=1)
+            for i in range(0, len(local), BLOB):
+                yield (int(local[i, 0]) + i // BLOB) % self.spots, -1, local[i : i + BLOB].tobytes()
+        low, d, part = (t[first] & np.uint64(0xFFFFFFFF)).astype("<u4"), d[first], part[first].astype(np.int64)
+        order = np.argsort(part * len(node) + d, kind="stable")
+        low, d, part = low[order], d[order], part[order]
+        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            spot, sub = divmod(int(part[a]), self.subs)
+            for i in range(a, b, BLOB):
+                e = min(b, i + BLOB)
+                at = np.flatnonzero(np.concatenate([[True], d[i + 1 : e] != d[i : e - 1]]))
+                count = np.diff(np.append(at, e - i)).astype("<u2")
+                yield spot, sub, b"".join([np.asarray([len(at)], "<u4").tobytes(), node[d[i:e][at]].tobytes(), count.tobytes(), low[i:e].tobytes()])
+
+
+def _entries(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Lower halves of tiles and the node of each, out of a blob of Chunk."""
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
+    nodes = np.frombuffer(blob, np.int64, n, 4)
+    count = np.frombuffer(blob, "<u2", n, 4 + 8 * n)
+    return np.frombuffer(blob, "<u4", -1, 4 + 10 * n), np.repeat(nodes, count)
+
+
+def laid(docs: DataFrame, k: int, percent: int, key: str, text: str, top: int = 1 << 40) -> DataFrame:
+    """Two kinds of rows in one table: a row for each document, ``key, n, node`` (the size of its set and the set's
+    fingerprint, null if it is empty), and, where ``tile`` isn't null, the members of every tile that two or more different
+    sets share, ``node, tile, lo``, ``lo`` being another member (or itself) through which all members of a tile hang together.
+
+    Texts are hashed once and tiles shuffled once, packed into blobs. Tasks meet the entries part by part, in the order of a
+    sort that may spill, so that memory holds about STEP_TILES of them.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
     kind = docs.schema[key].dataType.simpleString()
+    spots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    body = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))
+    chars = body.agg(F.sum(F.length("body"))).first()[0] or 0
+    subs = max(1, -(-(chars // 10) // (spots * STEP_TILES)))  # a tile for about every ten characters
+    names = ["spot", "sub", "key", "n", "node", "blob"]
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels(percent, top)
         firsts = np.asarray([f for f, _, _ in table])
-        seen: set[int] = set()
+        task = TaskContext.get()
+        chunk, turn = Chunk(spots, subs), task.partitionId() if task else 0
+
+        def packed(ktype):
+            rows = list(chunk.rows())
+            for i in range(0, len(rows), 256):
+                spot, sub, blob = zip(*rows[i : i + 256], strict=True)
+                none = pa.nulls(len(spot), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(spot, pa.int32()), pa.array(sub, pa.int32()), pa.nulls(len(spot), ktype), none, none, pa.array(blob, pa.binary())], names)
+
+        ktype = None
         for b in batches:
-            n, node, check, tile = [], [], [], []
+            ktype = b.column(0).type
+            n, node = [], []
             for u in shingle_sets(b.column(1).to_pylist(), k):
                 n.append(len(u))
-                if not len(u):
-                    node.append(None)
-                    check.append(None)
-                    tile.append([])
+                node.append(node_of(u) if len(u) else None)
+                if len(u) and node[-1] not in chunk.seen:
+                    chunk.add(node[-1], tiles(u, percent, table, firsts))
+                    if chunk.full():
+                        yield from packed(ktype)
+            turn += 1
+            yield pa.RecordBatch.from_arrays([pa.array([turn % spots] * len(n), pa.int32()), pa.array([-1] * len(n), pa.int32()), b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.nulls(len(n), pa.binary())], names)
+        if ktype is not None:
+            yield from packed(ktype)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spot = held = None
+        blobs: list[bytes] = []
+        ktype = None
+
+        def members(rows: np.ndarray):
+            none = pa.nulls(len(rows), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.nulls(len(rows), ktype), none, pa.array(rows[:, 1]), pa.array(rows[:, 0]), pa.array(rows[:, 2])], ["key", "n", "node", "tile", "lo"])
+
+        def shared():
+            if not blobs:
+                return
+            low, node = (np.concatenate(x) for x in zip(*map(_entries, blobs), strict=True))
+            blobs.clear()
+            order = np.argsort(low)
+            low, node = low[order], node[order]
+            begin = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+            size = np.diff(np.append(begin, len(low)))
+            lo = np.minimum.reduceat(node, begin)
+            more = lo != np.maximum.reduceat(node, begin)
+            there = np.repeat(more, size)
+            part = np.int64(held[0]) * subs + held[1]
+            rows = np.stack([(part << 32) | low[there].astype(np.int64), node[there], np.repeat(lo, size)[there]], axis=1)
+            for i in range(0, len(rows), 1 << 18):
+                yield members(rows[i : i + (1 << 18)])
+
+        for b in batches:
+            ktype = b.column(2).type
+            sub = b.column(1).to_numpy()
+            signed = b.filter(b.column(5).is_null())
+            if len(signed):
+                none = pa.nulls(len(signed), pa.int64())
+                yield pa.RecordBatch.from_arrays([signed.column(2), signed.column(3), signed.column(4), none, none], ["key", "n", "node", "tile", "lo"])
+            for i, (spot, s, blob) in enumerate(zip(b.column(0).to_pylist(), sub.tolist(), b.column(5), strict=True)):
+                if not blob.is_valid:
+                    continue
+                raw = blob.as_buffer()
+                if s < 0:
+                    yield members(np.frombuffer(raw, np.int64).reshape(-1, 3))
                     continue
-                a = int(mixed(u * _M1 + _P).sum(dtype=np.uint64).astype(np.int64))
-                node.append(a)
-                check.append(int(mixed(u ^ _P).sum(dtype=np.uint64).astype(np.int64)))
-                if a in seen:
-                    tile.append([])
-                else:
-                    if len(seen) >= 500_000:
-                        seen.clear()
-                    seen.add(a)
-                    tile.append(tiles(u, percent, table, firsts).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(tile, pa.list_(pa.int64()))], ["key", "n", "node", "check", "tiles"])
-
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))
-    return rows.mapInArrow(sign, f"key {kind}, n long, node long, check long, tiles array<long>")
-
-
-def sets_of(docs: DataFrame, k: int) -> DataFrame:
-    """``node, n, point, members`` of documents given as (node, body)."""
+                if held != (spot, s):
+                    yield from shared()
+                    held = (spot, s)
+                blobs.append(raw)
+        yield from shared()
+
+    entries = body.mapInArrow(lay, f"spot int, sub int, key {kind}, n long, node long, blob binary")
+    met = entries.repartitionById(spots, F.col("spot")).sortWithinPartitions("sub").mapInArrow(meet, f"key {kind}, n long, node long, tile long, lo long")
+    return stable(met, "laid")
+
+
+def points_of(docs: DataFrame, k: int) -> DataFrame:
+    """``node, n, point`` of texts given as ``body``; texts without words have no row."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            us = shingle_sets(b.column(1).to_pylist(), k)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(u) for u in us], pa.int64()), pa.array([point(u) for u in us], pa.list_(pa.int16())), pa.array([u.astype(np.int64) for u in us], pa.list_(pa.int64()))], ["node", "n", "point", "members"])
+            us = [u for u in shingle_sets(b.column(0).to_pylist(), k) if len(u)]
+            yield pa.RecordBatch.from_arrays([pa.array([node_of(u) for u in us], pa.int64()), pa.array([len(u) for u in us], pa.int64()), pa.array([point(u) for u in us], pa.list_(pa.int32()))], ["node", "n", "point"])
+
+    return docs.select("body").mapInArrow(make, "node long, n long, point array<int>")
+
+
+class Sets:
+    """The sets of nodes, made from the texts again whenever they are needed: they would be larger than the texts."""
+
+    def __init__(self, body: DataFrame, chosen: DataFrame, k: int):
+        self.body, self.chosen, self.k = body, chosen, k
+
+    def texts(self, nodes: DataFrame, n: int) -> DataFrame:
+        """Texts of at most ``n`` nodes (and others of the same key)."""
+        keys = self.chosen.join(bounded(nodes, n, 16), "node", "left_semi").select("least").distinct()
+        return self.body.join(bounded(keys, n, 48), F.col("key").eqNullSafe(F.col("least")), "left_semi")
+
+    def members(self, nodes: DataFrame, n: int) -> DataFrame:
+        """``node, n, members`` of ``nodes``; of texts that share a key, also of others."""
+        k = self.k
 
-    return docs.mapInArrow(make, "node long, n long, point array<smallint>, members array<long>")
+        def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            done: set[int] = set()
+            for b in batches:
+                us = [u for u in shingle_sets(b.column(0).to_pylist(), k) if len(u)]
+                names = [node_of(u) for u in us]
+                new = [i for i, x in enumerate(names) if x not in done and not done.add(x)]
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in new], pa.int64()), pa.array([len(us[i]) for i in new], pa.int64()), pa.array([us[i].astype(np.int64) for i in new], pa.list_(pa.int64()))], ["node", "n", "members"])
+
+        return self.texts(nodes, n).select("body").mapInArrow(make, "node long, n long, members array<long>")
+
+
+def narrowed(pairs: DataFrame, n: int, sets: Sets, percent: int) -> DataFrame:
+    """Those of ``n`` pairs (a, b) that a much finer point lets pass, 65,536 groups, as a table: it is sent as the sorted
+    group numbers of a set, two bytes for each shingle, a quarter of the set itself."""
+    def fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            us = [np.asarray(u, np.int64).view(np.uint64) for u in b.column(2).to_numpy(zero_copy_only=False)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([np.sort((mixed(u ^ _M1) >> np.uint64(48)).astype("<u2")).tobytes() for u in us], pa.binary())], ["node", "n", "groups"])
+
+    def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, counts = None, None
+        for b in batches:
+            keep = []
+            for a, na, nb, ga, gb in zip(*(b.column(c).to_pylist() for c in ("a", "na", "nb", "ga", "gb")), strict=True):
+                if a != held:
+                    held, counts = a, np.bincount(np.frombuffer(ga, "<u2"), minlength=1 << 16)
+                group, size = np.unique(np.frombuffer(gb, "<u2"), return_counts=True)
+                keep.append((100 + percent) * int(np.minimum(counts[group], size).sum()) >= percent * (na + nb))
+            yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    ends = pairs.select(F.col("b").alias("node"), "a")
+    hubs = pairs.select(F.col("a").alias("node")).distinct()
+    of = lambda nodes: sets.members(nodes, n).mapInArrow(fine, "node long, n long, groups binary")
+    sent = of(ends.select("node").distinct()).join(bounded(ends, n, 32), "node").toDF("b", "nb", "gb", "a")
+    ga = of(hubs).join(bounded(hubs, n, 16), "node", "left_semi").toDF("a", "na", "ga")
+    return stable(sent.join(ga, "a").select("a", "b", "na", "nb", "ga", "gb").mapInArrow(passes, "a long, b long").distinct(), "narrowed")
 
 
 class RTree:
@@ -177,7 +368,7 @@ class RTree:
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, component: np.ndarray, percent: int):
         self.percent, self.sizes, self.component = percent, sizes, component
-        self.points = np.where(points == 32767, np.int32(1 << 30), points.astype(np.int32))  # a clipped count may be any above
+        self.points = points
         order = np.lexsort((self.points[:, 1], self.points[:, 0], sizes, component)) if len(points) else np.empty(0, np.int64)
         groups = [order[i : i + LEAF] for i in range(0, len(order), LEAF)]
         self.levels = [self._boxes(groups, self.points, sizes, component, component)]
@@ -193,7 +384,7 @@ class RTree:
 
     def _reach(self, a, b, upper, least) -> np.ndarray:
         """Which of a x b may hold a link, by the summed minima of their coordinates."""
-        return (100 + self.percent) * np.minimum(upper[a][:, None], upper[b][None]).sum(axis=2) >= self.percent * (least[a][:, None] + least[b][None])
+        return (100 + self.percent) * np.minimum(upper[a][:, None], upper[b][None]).sum(axis=2, dtype=np.int64) >= self.percent * (least[a][:, None] + least[b][None])
 
     def pairs(self) -> np.ndarray:
         """Pairs of points of different components whose bound reaches the overlap that a link needs."""
@@ -227,66 +418,145 @@ class RTree:
         return pairs[sorted(keep)]
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that are links: first by the bound on their points, then, for the few that it lets pass,
-    on the sets themselves."""
-    points = sets.select("node", "n", "point")
-    near = pairs.join(points.toDF("a", "na", "pa"), "a").join(points.toDF("b", "nb", "pb"), "b")
-    most = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    full = F.exists("pa", lambda x: x == 32767) | F.exists("pb", lambda x: x == 32767)
-    near = stable(near.where(full | ((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))).select("a", "b").distinct(), "near")
-    some = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    members = sets.join(bounded(some, 2 * near.count(), 16), "node", "left_semi").select("node", "n", "members")
-    both = near.join(members.toDF("a", "na", "ma"), "a").join(members.toDF("b", "nb", "mb"), "b")
-    shared = F.size(F.array_intersect("ma", "mb"))
-    return both.where((100 + percent) * shared >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
+def exact(pairs: DataFrame, n: int, sets: Sets, percent: int) -> DataFrame:
+    """Those of ``n`` pairs (a, b) of nodes that are links, compared on the sets themselves, as a table. The set of b goes to
+    that of a; each set of a goes there once."""
+    ends = pairs.select(F.col("b").alias("node"), "a")
+    hubs = pairs.select(F.col("a").alias("node")).distinct()
+    sent = sets.members(ends.select("node").distinct(), n).join(bounded(ends, n, 32), "node").toDF("b", "nb", "mb", "a")
+    hubs = sets.members(hubs, n).join(bounded(hubs, n, 16), "node", "left_semi").toDF("a", "na", "ma")
+    return stable(sent.join(hubs, "a").where((100 + percent) * F.size(F.array_intersect("ma", "mb")) >= percent * (F.col("na") + F.col("nb"))).select("a", "b").distinct(), "links")
+
+
+def verified(pairs: DataFrame, points: DataFrame, sets: Sets, labels: DataFrame | None, percent: int) -> DataFrame | None:
+    """The components (node, component) that the links among ``pairs`` (a, b) make together with those of ``labels``; None if
+    there is no link at all.
+
+    Pairs of too different sizes go first, then those that the bound on their points sorts out. Then every b is compared
+    with its most promising a; of what is left only pairs between components that are still apart are compared.
+    """
+    size = points.select("node", "n")
+    alike = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+    near = alike.join(points.select(F.col("node").alias("a"), F.col("point").alias("pa")), "a").join(points.select(F.col("node").alias("b"), F.col("point").alias("pb")), "b")
+    most = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
+    near = near.withColumn("most", most).where((100 + percent) * F.col("most") >= percent * (F.col("na") + F.col("nb")))
+    near = stable(near.select("a", "b", (F.col("most") / (F.col("na") + F.col("nb"))).alias("share")).distinct(), "near")
+    first = stable(near.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b"), "first")
+    for step in (first, near):
+        todo, n = step, step.count()
+        if step is near:
+            if n == first.count():
+                break
+            todo = near.join(first, ["a", "b"], "left_anti").select("a", "b")
+            if labels is not None:
+                known = bounded(labels, labels.count(), 40)
+                todo = todo.join(known.toDF("a", "x"), "a", "left").join(known.toDF("b", "y"), "b", "left").where(~F.coalesce(F.col("x") == F.col("y"), F.lit(False))).select("a", "b")
+            every = stable(todo, "todo")
+            n = every.count()
+            todo = narrowed(every, n, sets, percent) if n else every
+            if n:
+                discard(every)
+                n = todo.count()
+        found = exact(todo, n, sets, percent) if n else None
+        if found is not None and not found.isEmpty():
+            old = labels
+            every = found if labels is None else found.union(labels.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")))
+            labels = components(every)
+            discard(old)
+        discard(found)
+        if step is near:
+            discard(todo)
+    discard(near, first)
+    return labels
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of undirected ``links`` (a, b): repeated hooking to the least neighbour, with
-    links contracted to what is still apart, until none is left. Each round's tables go to the shared folder."""
+    links contracted to what is still apart, until none is left. Each round's tables go to the shared folder, and those of
+    the round before leave it."""
     links = stable(links.distinct(), "links")
     labels = stable(links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("component", F.col("node")), "labels")
     while not links.isEmpty():
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = both.groupBy("a").agg(F.min("b").alias("p")).select("a", F.least("a", "p").alias("p"))
-        parent = stable(parent, "parents")
+        first = parent = stable(parent, "parents")
         n = parent.count()
         for _ in range(2):
             up = bounded(parent.toDF("pa", "pp"), n, 24)
             parent = parent.join(up, F.col("p") == F.col("pa")).select("a", F.col("pp").alias("p"))
         parent = stable(parent, "parents")
         up = bounded(parent, n, 24)
+        old = labels, links
         labels = stable(labels.join(up, F.col("component") == F.col("a"), "left").select("node", F.coalesce("p", "component").alias("component")), "labels")
         moved = links.join(up.toDF("a", "x"), "a").join(up.toDF("b", "y"), "b").where("x <> y")
         links = stable(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        discard(first, parent, *old)
+    discard(links)
     return labels
 
 
 def _across(percent: int, best: bool):
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = RTree(np.stack(pdf.point.to_numpy()), pdf.n.to_numpy(), pdf.component.to_numpy(), percent)
-        p = tree.pairs()
-        if best:
-            p = tree.best(p)
-        a, b = pdf.node.to_numpy()[p[:, 0]], pdf.node.to_numpy()[p[:, 1]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    """Rows of one search (tile, x, y) come one after another; each search is one tree."""
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t = pa.Table.from_batches(rows)
+            node, n, component = (t.column(c).to_numpy() for c in ("node", "n", "component"))
+            points = t.column("point").combine_chunks()
+            tree = RTree(points.flatten().to_numpy().reshape(len(points), -1), n, component, percent)
+            p = tree.pairs()
+            if best:
+                p = tree.best(p)
+            a, b = node[p[:, 0]], node[p[:, 1]]
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        held, name = [], None
+        for b in batches:
+            if not len(b):
+                continue
+            ids = np.stack([b.column(c).to_numpy() for c in ("tile", "x", "y")], axis=1)
+            edges = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1), [True]])).tolist()
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
+                if name != (now := tuple(ids[i].tolist())):
+                    if held:
+                        yield found(held)
+                    held, name = [], now
+                held.append(b.slice(i, j - i))
+        if held:
+            yield found(held)
 
     return search
 
 
-def _crossing(members: DataFrame, sets: DataFrame, labels: DataFrame, n: int, percent: int, chunk: int, best: bool) -> DataFrame:
-    """Pairs of different components within a tile that the trees let pass, all of them or each set's best. Tiles of equal
-    members are searched once; one of many members is searched in pairs of chunks."""
-    known = members.select("tile", "node").join(bounded(labels, n, 40), "node", "left").select("tile", "node", F.coalesce("component", "node").alias("component"))
-    open_tiles = known.groupBy("tile").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"))
-    open_tiles = open_tiles.where("c1 <> c2 and size > 2").groupBy("size", "s1", "s2").agg(F.min("tile").alias("tile")).select("tile", F.ceil(F.col("size") / chunk).cast("int").alias("chunks"))
-    open_tiles = stable(open_tiles, "open")
-    inside = known.join(bounded(open_tiles, open_tiles.count(), 32), "tile")
-    inside = inside.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(2)), F.col("chunks").cast("long")).cast("int"))
-    inside = inside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    inside = inside.select("tile", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "node", "component").join(sets.select("node", "n", "point"), "node")
-    return inside.groupBy("tile", "x", "y").applyInPandas(_across(percent, best), "a long, b long").distinct()
+def _crossing(members: DataFrame, points: DataFrame, labels: DataFrame, n: int, percent: int, chunk: int, best: bool) -> DataFrame:
+    """Pairs of different components within a tile that the trees let pass, all of them or each set's best.
+
+    Tiles of equal members are searched once. One of more than ``chunk`` members is dealt into cells: a component of more
+    than ``chunk`` has cells of its own, the others share some, and cells are searched two by two, but for two of the same
+    component. So of a large group of near copies only its few outsiders are compared with it, not its members with each
+    other.
+    """
+    known = members.select("tile", "node").distinct()
+    if labels is None:
+        labels = known.select("node", F.col("node").alias("component")).limit(0)
+    known = known.join(bounded(labels, n, 40), "node", "left").select("tile", "node", F.coalesce("component", "node").alias("component"))
+    tiles_ = known.groupBy("tile").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"))
+    open_tiles = stable(tiles_.where("c1 <> c2 and size > 2").groupBy("size", "s1", "s2").agg(F.min("tile").alias("tile")).select("tile", "size"), "open")
+    inside = stable(known.join(bounded(open_tiles, open_tiles.count(), 32), "tile"), "inside")
+    small = inside.where(F.col("size") <= chunk).select("tile", F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"), "node", "component")
+    wide = inside.where(F.col("size") > chunk)
+    own = wide.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > chunk).withColumnRenamed("tile", "t2").withColumnRenamed("component", "c2")
+    wide = wide.join(own, (F.col("tile") == F.col("t2")) & (F.col("component") == F.col("c2")), "left").drop("t2")
+    mixed_cell = F.pmod(F.xxhash64("component", F.lit(2)), F.ceil(F.col("size") / chunk))
+    cell = F.when(F.col("m").isNull(), mixed_cell).otherwise(F.xxhash64("component", F.pmod(F.xxhash64("node", F.lit(2)), F.ceil(F.col("m") / chunk))))
+    wide = stable(wide.select("tile", "node", "component", F.col("c2").alias("whole"), cell.alias("cell")), "wide")
+    cells = wide.select("tile", "cell", "whole").distinct()
+    two = cells.toDF("tile", "x", "wx").join(cells.toDF("tile", "y", "wy"), "tile").where("x <= y and not coalesce(wx = wy, false)").select("tile", "x", "y")
+    large = wide.withColumnRenamed("cell", "x").join(two, ["tile", "x"]).unionByName(wide.withColumnRenamed("cell", "y").join(two.where("x < y"), ["tile", "y"]))
+    searches = small.unionByName(large.select("tile", "x", "y", "node", "component")).join(points, "node")
+    laid_out = searches.repartition("tile", "x", "y").sortWithinPartitions("tile", "x", "y")
+    out = stable(laid_out.mapInArrow(_across(percent, best), "a long, b long").distinct(), "crossing")
+    discard(open_tiles, inside, wide)
+    return out
 
 
 def join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", chunk: int = 512) -> DataFrame:
@@ -296,63 +566,73 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", te
     Words are separated by space and the control characters 09 to 0D; A-Z count as a-z. A text with fewer than ``k`` words
     is one shingle; null, empty and blank texts have none and link with nothing. Equal sets are one class, whose copies
     are never compared; no link between different sets is lost, as the tiles cover every pair that may reach ``percent``.
-    Repeated rows and ties come out one by one; other columns are left out; an empty table gives an empty one. Shingles
-    and sets are known by 64-bit hashes.
+    Repeated rows and ties come out one by one; different texts under one key, or under none, are documents of their own; a
+    null key counts as the greatest; other columns, whatever their names, are left out; an empty table gives an empty one.
+    Shingles and sets are known by 64-bit hashes.
 
-    Shuffled are the tiles (about 0.3 for each shingle, 16 bytes each) and the sets of documents that share one.
+    Shuffled are the tiles (about half of one for each shingle, 5 to 13 bytes each) and the sets of documents that share one.
     """
-    spark = docs.sparkSession
-    signed = stable(signatures(docs, k, percent, key, text), "signed")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = signed.where(F.size("tiles") > 0).select("node", F.explode("tiles").alias("tile")).repartition(parts, "tile")
-    shared = laid.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    shared = shared.select(F.col("tile"), "lo").hint("shuffle_hash")
-    members = stable(laid.join(shared, "tile").distinct(), "members")
-    pivots = stable(members.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct(), "pivots")
+    met = laid(docs, k, percent, key, text)
+    signed, members = met.where("tile is null").select("key", "n", "node"), met.where("tile is not null").select("tile", "node", "lo")
+    pivots = stable(members.where("node <> lo").select(F.least("lo", "node").alias("a"), F.greatest("lo", "node").alias("b")).distinct(), "pivots")
     nodes = pivots.select(F.col("a").alias("node")).union(pivots.select("b")).distinct()
 
     classes = signed.where("node is not null").groupBy("node").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"))
     chosen = stable(classes.join(nodes, "node", "left_semi"), "chosen")
     n = chosen.count()
     body = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))
-    texts = body.join(bounded(chosen.select(F.col("least").alias("key"), "node"), n, 40), "key").select("node", "body")
-    sets = stable(sets_of(texts, k), "sets")
-    if sets.count() > n:  # repeated rows of one key
-        sets = stable(sets.dropDuplicates(["node"]), "sets")
-
-    links = stable(verified(pivots, sets, percent), "found")
-    labels = components(links)
-    tried = pivots
+    sets = Sets(body, chosen, k)
+    points = stable(points_of(sets.texts(chosen.select("node"), n), k), "points")
+    if points.count() != n:  # several texts under one key: sets that share no tile, or that are there twice
+        every = points
+        points = stable(every.join(bounded(chosen.select("node"), n, 16), "node", "left_semi").dropDuplicates(["node"]), "points")
+        discard(every)
+
+    labels = verified(pivots, points, sets, None, percent)
+    tried = [pivots]
     for best in (True, False):
-        crossing = stable(_crossing(members, sets, labels, n, percent, chunk, best).join(tried, ["a", "b"], "left_anti"), "crossing")
-        more = stable(verified(crossing, sets, percent), "more")
-        tried = tried.union(crossing)
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
-
+        found = _crossing(members, points, labels, n, percent, chunk, best)
+        for t in tried:
+            found = found.join(t, ["a", "b"], "left_anti")
+        tried.append(stable(found, "crossing"))
+        labels = verified(tried[-1], points, sets, labels, percent)
+    discard(points, *tried)
+
+    if labels is None:
+        labels = chosen.select("node", F.col("node").alias("component")).limit(0)
     home = labels.join(chosen.select("node", "least"), "node")
     home = home.join(home.groupBy("component").agg(F.min("least").alias("id")), "component").select("node", "id")
     same = classes.join(home, "node", "left").where("copies > 1 or id is not null").select(F.col("node").alias("its"), F.coalesce("id", "least").alias("id"))
-    out = signed.select("key", "n", "node").join(same, F.col("node") == F.col("its"), "left")
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("id", "key").alias("component_id"))
+    out = stable(signed.join(same, F.col("node") == F.col("its"), "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("id", "key").alias("component_id")), "joined")
+    discard(met, chosen, labels)
+    return out
 
 
 def distinct(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of least key of every component, with all its columns; its repeated rows count as one.
+    """The document of least key of every component, with all its columns, whatever their names; its repeated rows count as one.
 
-    Rows are linked by their own numbers, not by key: different texts under one key, or without a key, each stay unless
-    they are linked. A null key is the greatest. Rows without words are one for each key; each stays where that is null.
+    Rows are linked by their own contents (two 64-bit hashes of all columns beside the key), not by key alone: different
+    texts under one key, or without a key, each stay unless they are linked. A null key is the greatest. Rows without words (null, empty and blank texts) are one for each key; each
+    stays where that is null. An empty table gives an empty one.
     """
-    rows = numbered(docs)
-    linked = join(rows, k, percent, "_row", text)
-    ids = rows.select("_row", F.col(f"`{key}`").alias("_key"))
-    empty = F.col("n_shingles") == 0
-    lone = F.when(empty & F.col("_key").isNotNull(), F.col("_key"))
-    linked = linked.join(ids, "_row").select("_row", "_key", lone.alias("_lone"), F.when(lone.isNull(), F.col("component_id")).alias("_of"))
-    least = F.min(F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("key"), F.col("_row").alias("row")))
-    stays = linked.groupBy("_lone", "_of").agg(least.alias("least")).select(F.col("least.row").alias("_row"))
-    return rows.join(stays, "_row", "left_semi").drop("_row")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    name = F.struct(F.col(f"`{key}`").isNull().alias("no_key"), F.col(f"`{key}`").alias("key"), F.xxhash64(*names).alias("h1"), F.xxhash64(F.lit("second"), *names).alias("h2"))
+    linked = join(docs.select(name.alias("its"), F.col(f"`{text}`").alias("body")), k, percent, "its", "body")
+    rows = linked.groupBy("its", "n_shingles", "component_id").agg(F.count(F.lit(1)).alias("copies"))
+    blank, nameless = F.col("n_shingles") == 0, F.col("its.no_key")
+    stays = rows.where(~blank & (F.col("its") == F.col("component_id")) | blank & nameless).select("its", F.when(blank, 1).otherwise(F.col("copies")).alias("copies"))
+    least = rows.where(blank & ~nameless).groupBy(F.col("its.key").alias("k")).agg(F.min_by("copies", "its").alias("copies"), F.min("its").alias("its")).select("its", "copies")
+    stays = stable(stays.union(least), "stays")
+    discard(linked)
+    small = stays.groupBy().agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.col("copies") > 1).cast("int")), F.lit(0)).alias("twice")).first()
+    free = "its" + "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
+    kept = lambda which, n: docs.withColumn(free, name).join(bounded(stays.where(which).select(F.col("its").alias(free)), n, 64), free, "left_semi").select(*names)
+    out = kept("copies = 1", small.n - small.twice)
+    if small.twice:
+        out = out.union(kept("copies > 1", small.twice).dropDuplicates())
+    out = stable(out, "distinct")
+    discard(stays)
+    return out
 
 
 #: All links and components in SQL.

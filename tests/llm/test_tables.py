@@ -85,7 +85,7 @@ def test_every_link_shares_a_tile():
 
 def test_tree_finds_what_a_scan_finds():
     rng = np.random.default_rng(1)
-    points = rng.poisson(2, (150, jaccard.GROUPS)).astype(np.int16)
+    points = rng.poisson(2, (150, jaccard.GROUPS)).astype(np.int32)
     points[75:] = np.maximum(points[:75] + (rng.random((75, jaccard.GROUPS)) < 0.1), 0)
     sizes, comp = points.sum(axis=1).astype(np.int64), rng.integers(0, 100, 150)
     tree = jaccard.RTree(points, sizes, comp, 85)
@@ -94,11 +94,40 @@ def test_tree_finds_what_a_scan_finds():
     assert got == want and want and len(tree.best(tree.pairs())) <= 150
 
 
-def test_tree_lets_clipped_counts_pass():
-    points = np.full((3, jaccard.GROUPS), 32767, np.int16)
+def test_tree_of_very_large_sets():
+    """Sets of 20 million shingles: counts beyond 16 bits bound their overlap as they are."""
+    points = np.full((3, jaccard.GROUPS), 78_125, np.int32)
     points[2] = 2
-    tree = jaccard.RTree(points, np.array([20_000_000, 20_000_100, 512]), np.arange(3), 85)
+    tree = jaccard.RTree(points, np.array([20_000_000, 20_000_000, 512]), np.arange(3), 85)
     assert {tuple(sorted(p)) for p in tree.pairs().tolist()} == {(0, 1)}
+    assert jaccard.point(np.zeros(100_000, np.uint64)).max() == 100_000
+
+
+def test_two_texts_under_one_key_lose_no_link(spark):
+    rng = random.Random(2)
+    one, two = prose(rng, 80), prose(rng, 80)
+    rows = [(1, one), (1, two), (2, two + " more"), (3, one + " still"), (None, prose(rng, 70)), (None, prose(rng, 70))]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert sorted((r.doc_id or 9, r.component_id or 9) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (9, 9), (9, 9)]
+
+
+def test_distinct_with_clashing_names(spark):
+    rng = random.Random(3)
+    t = [prose(rng, 60) for _ in range(3)]
+    df = spark.createDataFrame([(i, x, 1, 2, "c") for i, x in enumerate([*t, t[0]])], "doc_id long, text string, _stays int, row int, key string")
+    kept = jaccard.distinct(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2]
+    assert jaccard.distinct(df.limit(0)).count() == 0
+
+
+def test_a_hot_tile_of_many_components(spark):
+    """More members of a tile than a search holds: one large component and outsiders."""
+    rng = random.Random(4)
+    base = prose(rng, 200).split()
+    texts = [" ".join([*base, f"x{i}"]) for i in range(60)] + [" ".join([*base[: 120 + i], *prose(rng, 70).split()]) for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = [r.component_id for r in jaccard.join(df, 4, 60, chunk=5).orderBy("doc_id").collect()]
+    assert got == brute_components(texts, 4, 60)[1]
 
 
 def test_join_of_odd_rows(spark):
@@ -176,6 +205,29 @@ def test_crossover_and_mutation_keep_every_item():
     assert packing.size(packing.evolve([a], counts, 100, 5, 1, 4)[0]) <= packing.size(a)
 
 
+def test_islands_beat_best_fit():
+    """Lengths of which best fit, longest first, wastes a sequence in every few; crossover and migration find better."""
+    counts = {36: 60, 35: 60, 29: 60, 50: 30, 45: 30, 5: 30, 27: 40, 24: 40, 49: 40}
+    plain = packing.size(packing.best_fit(counts, 100))
+    found = [packing.best_fit(counts, 100)]
+    for epoch in range(6):
+        found = packing.evolve(found, counts, 100, 10, epoch, 8)
+    best = found[0]
+    assert packing.size(best) < plain and all(sum(p) <= 100 for p in best)
+    total = defaultdict(int)
+    for p, n in best.items():
+        for x in p:
+            total[x] += n
+    assert total == counts
+
+
+def test_one_generation_at_least():
+    counts = {50: 4}
+    one = packing.best_fit(counts, 100)
+    assert packing.evolve([dict(one)], counts, 100, 3, 1, 2)[0] == one
+    assert packing.evolve([one], counts, 100, 3, 1, 2)[0] is not one
+
+
 def test_mix_equals_sql(spark, corpus):
     duckdb = pytest.importorskip("duckdb")
     rows = [(i, t, None if i % 11 == 0 else f"s{i % 5}") for i, t in enumerate(corpus)]
@@ -221,6 +273,21 @@ def test_neighbours_recall_and_order(spark):
     assert neighbours.neighbours(df.where("vec_id in (20, 21, 22)"), F.col("vec_id") == 20).count() == 2
 
 
+def test_recall_on_the_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in df.collect() if r.embedding is not None]
+    ids, x = np.asarray([i for i, _ in rows]), np.asarray([v for _, v in rows], float)
+    ok = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
+    ids, x = ids[ok], x[ok]
+    got = neighbours.neighbours(df, F.col("vec_id") % 20 == 0, k=20).toPandas()
+    hits = []
+    for q, g in got.groupby("query_id"):
+        s = (x * x[ids == q]).sum(axis=1)
+        s[ids == q] = -np.inf
+        hits.append(len(set(ids[np.lexsort((ids, -s))[:20]]) & set(g.vec_id)) / min(20, len(ids) - 1))
+    assert np.mean(hits) >= 0.9 and got.query_id.nunique() == (ids % 20 == 0).sum()
+
+
 def test_pipeline_stages_equal_plain_versions(spark, corpus, tmp_path):
     import corpus_pipeline as p
     from quire.llm import quality
@@ -253,3 +320,18 @@ def test_pipeline_stages_equal_plain_versions(spark, corpus, tmp_path):
         n[r.doc_id] += r.start == 0
     assert n == seen["mix_sources"].doc_id.value_counts().to_dict()
     assert p.run(spark, str(tmp_path)).count() == len(seen["pack_sequences"])
+
+
+def test_pipeline_of_nothing_and_of_odd_columns(spark, tmp_path):
+    import corpus_pipeline as p
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    assert p.run(spark, str(tmp_path / "a")).count() == 0
+    text = "the of and to " + prose(random.Random(1), 80)
+    rows = [(1, text, "en", None, 5, "x", "y", 7), (None, text + " more", None, None, None, None, None, None), (3, None, None, "s", None, None, None, None), (1, text, "en", None, 5, "x", "y", 7)]
+    docs = spark.createDataFrame(rows, schema + ", row string, of string, copies long")
+    for name, stage in p.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == [*schema.replace(" long", "").replace(" string", "").split(", "), "row", "of", "copies"], name
+    assert docs.count() == 1 and p.STAGES[-1][1](spark, docs, "").count() == 1
