@@ -9,35 +9,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import jaccard, mixing, packing, pseudonyms, quality
-from quire.llm.common import numbered, stable, table
-from quire.llm.queries import WINDOW, tokenizer_path
+from quire.llm import jaccard, mixing, packing, quality
+from quire.llm.common import discard, numbered, stable, table
+from quire.llm.queries import WINDOW, pseudonymised, tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base or a rule go."""
+    """Documents that fail the base or a rule go.
+
+    A null, empty or blank text has too few words and goes; equal rows are judged one by one; other columns stay, whatever
+    their names; an empty table gives an empty one.
+    """
     return quality.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one of least doc_id: five words a shingle, a similarity of 0.8 or more."""
+    """One document of each group stays, the one of least doc_id: five words a shingle, a similarity of 0.8 or more.
+
+    Repeated rows are one document. A null doc_id counts as the greatest; unlinked texts under one doc_id, or none, each
+    stay. Texts without words are one for each doc_id, and each where that is null. An empty table gives an empty one.
+    """
     return jaccard.distinct(docs, k=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data get pseudonyms; n_chars follows the text."""
-    return pseudonyms.pseudonymise(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Personal data get pseudonyms; n_chars follows the text, and is null where that is.
+
+    Null and empty texts stay; equal values get equal pseudonyms in every row; other columns stay; an empty table gives an
+    empty one.
+    """
+    return pseudonymised(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it; those that it doesn't take go."""
-    rows = numbered(docs)
-    copies = mixing.mix(rows, row="_row").where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
-    return rows.join(copies, "_row").drop("_row", "_copy")
+    """Each document as many times as the mix takes it; those that it doesn't take go.
+
+    Rows are mixed by their own numbers, so that null and repeated doc_ids neither lose nor multiply rows; null texts have
+    no words and a null source is a source; an empty table gives an empty one.
+    """
+    rows = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("of")), "row")
+    mixed = mixing.mix(rows.select("row", *[F.col("of").getField(c).alias(c) for c in ("doc_id", "source", "text")]), row="row")
+    copies = mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return rows.join(copies, "row").select("of.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in sequences."""
+    """Pieces of documents with their places in sequences.
+
+    A null or empty text is its end marker alone; repeated rows are packed each; other columns go; an empty table gives an
+    empty one.
+    """
     return packing.pack(docs, tokenizer_path(), WINDOW)
 
 
@@ -50,5 +71,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stable(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stable(stage(spark, docs, sf_dir), name)
+        discard(before)
     return docs
