@@ -105,7 +105,7 @@ def test_worker_isolates_failures(spark, tmp_path):
 
 
 def test_text_normalise_takes_the_whole_text(spark, tmp_path):
-    """The registered SQL reads the first 200 characters of a text, so the whole is held against Python here."""
+    """Texts beyond those of the tables, held against Python."""
     texts = ["Ab É 9 " * 40 + "  Zadní ČÁST 2024!", "x" * 200 + "Ž end", "short", None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: r.norm for r in catalogue.QUERIES["text_normalise"](spark, str(tmp_path)).collect()}
@@ -114,7 +114,7 @@ def test_text_normalise_takes_the_whole_text(spark, tmp_path):
 
 
 def test_iou_join_and_cardinality_take_every_line(spark, tmp_path):
-    """The registered SQL filters lines by l_orderkey and l_linenumber, so all lines are held against Python here."""
+    """Lines of every number, held against Python."""
     rng = random.Random(4)
     lines = [(o, n, rng.randint(1, 6), 1, float(rng.randint(1, 50)), rng.choice("ARN"), rng.randint(0, 10) / 100) for o in range(1, 41) for n in range(1, rng.randint(2, 8))]
     orders = [(o, rng.randint(1, 8)) for o in range(1, 41)]
