@@ -43,15 +43,15 @@ def from_roman(text: Column, thousands: int = 3) -> Column:
 
 def printed_number(text: Column) -> Column:
     """A decorated page number as struct(norm, value, system): one Arabic number, whose groups of digits only white space
-    may part, else exactly one word that is a Roman numeral; null otherwise."""
+    may part, else exactly one word that is a Roman numeral; null otherwise. A number beyond 64 bits has no value."""
     t = plain(text)
     groups = F.regexp_extract_all(t, F.lit("[0-9]+"), F.lit(0))
     one = t.rlike(r"^[^0-9]*[0-9]+(?:\s+[0-9]+)*[^0-9]*$")
     digits = F.array_join(groups, "")
     words = F.regexp_extract_all(t, F.lit(r"\p{L}+"), F.lit(0))
     roman = F.filter(words, lambda w: from_roman(w).isNotNull())
-    arabic = F.struct(digits.alias("norm"), digits.cast("int").alias("value"), F.lit("arabic").alias("system"))
-    numeral = F.struct(F.get(roman, 0).alias("norm"), from_roman(F.get(roman, 0)).alias("value"), F.lit("roman").alias("system"))
+    arabic = F.struct(digits.alias("norm"), digits.try_cast("bigint").alias("value"), F.lit("arabic").alias("system"))
+    numeral = F.struct(F.get(roman, 0).alias("norm"), from_roman(F.get(roman, 0)).cast("bigint").alias("value"), F.lit("roman").alias("system"))
     return F.when(F.size(groups) > 0, F.when(one, arabic)).when(F.size(roman) == 1, numeral)
 
 
@@ -66,7 +66,7 @@ def page_reference(text: Column) -> Column:
     """
     t = F.regexp_replace(plain(text), r"[‐-―−]", "-")
     found = F.regexp_extract_all(t, F.lit(_TOKEN), F.lit(0))
-    items = F.transform(found, lambda x: F.when(x.rlike("^[0-9]"), F.struct(F.regexp_replace(x, "^0+(?=.)", "").alias("text"), x.cast("int").alias("value"), F.lit("arabic").alias("system"))).otherwise(F.struct(x.alias("text"), from_roman(x, 4).alias("value"), F.lit("roman").alias("system"))))
+    items = F.transform(found, lambda x: F.when(x.rlike("^[0-9]"), F.struct(F.regexp_replace(x, "^0+(?=.)", "").alias("text"), x.try_cast("bigint").alias("value"), F.lit("arabic").alias("system"))).otherwise(F.struct(x.alias("text"), from_roman(x, 4).cast("bigint").alias("value"), F.lit("roman").alias("system"))))
     shape = F.regexp_replace(F.regexp_replace(t, _TOKEN, "#"), r"\s+", "")
     good = (F.size(items) > 0) & F.forall(items, lambda i: F.coalesce(i["value"] > 0, F.lit(False))) & ~shape.rlike("[0-9]") & ~shape.rlike("[-+]#") | shape.rlike(r"^[^#+-]*#-#[^#+-]*$") & F.forall(items, lambda i: F.coalesce(i["value"] > 0, F.lit(False)))
     a, b = F.get(items, 0), F.get(items, 1)

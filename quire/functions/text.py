@@ -72,10 +72,12 @@ def relative_match(original: Column, transcription: Column, tolerance: float) ->
     return F.when(empty, False).otherwise(close.between(1 - tolerance, 1 + tolerance)), F.when(empty, 0.0).otherwise(close)
 
 
-def natural_key(text: Column, width: int = 20) -> Column:
-    """A string that sorts as the text does if runs of digits count as numbers and case doesn't."""
+def natural_key(text: Column) -> Column:
+    """A string that sorts as the text does if runs of digits, of any length, count as numbers and case doesn't: their
+    length comes before them."""
     runs = F.regexp_extract_all(F.lower(text), F.lit(r"[0-9]+|[^0-9]+"), F.lit(0))
-    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike("^[0-9]"), F.lpad(F.regexp_replace(r, "^0+(?=.)", ""), width, "0")).otherwise(r)), "")
+    number = lambda r: F.regexp_replace(r, "^0+(?=.)", "")
+    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike("^[0-9]"), F.concat(F.lpad(F.length(number(r)).cast("string"), 10, "0"), number(r))).otherwise(r)), "")
 
 
 def features(text: Column) -> dict[str, Column]:

@@ -61,9 +61,10 @@ def title_page_fields(regions: DataFrame) -> DataFrame:
 
 
 def hierarchy(regions: DataFrame) -> DataFrame:
-    """``page_key, hierarchy``: periodical if any label is a periodical's, else multipart with a part, else monograph."""
+    """``page_key, hierarchy``: periodical if any label is a periodical volume's (an issue's alone doesn't make one), else
+    multipart with a part, else monograph."""
     r = usable(regions).where(F.col("label").isin(*FIELDS))
-    return r.groupBy("page_key").agg(F.when(F.bool_or(F.col("label").startswith("Periodical")), "periodical").when(F.bool_or(F.col("label").isin("PartNumber", "PartName")), "multipart").otherwise("monograph").alias("hierarchy"))
+    return r.groupBy("page_key").agg(F.when(F.bool_or(F.col("label").startswith("PeriodicalVolume")), "periodical").when(F.bool_or(F.col("label").isin("PartNumber", "PartName")), "multipart").otherwise("monograph").alias("hierarchy"))
 
 
 def emitted(fields: DataFrame) -> DataFrame:

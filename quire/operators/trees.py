@@ -2,16 +2,44 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEVELS = "WITH RECURSIVE walk(node, ancestor, depth, path) AS (SELECT id, parent, 1, array(id, parent) FROM {nodes} WHERE parent IS NOT NULL UNION ALL SELECT w.node, n.parent, w.depth + 1, array_append(w.path, n.parent) FROM walk w JOIN {nodes} n ON n.id = w.ancestor WHERE n.parent IS NOT NULL AND NOT array_contains(w.path, n.parent)) SELECT node, ancestor, depth FROM walk"
+def _settled(df: DataFrame) -> DataFrame:
+    """``df`` kept in the shared checkpoint folder, so that rounds neither recompute each other nor depend on executors."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not where:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            where = tempfile.mkdtemp(prefix="quire-")
+            atexit.register(shutil.rmtree, where, ignore_errors=True)
+        context.setCheckpointDir(where)
+    return df.checkpoint()
 
 
 def ancestors(nodes: DataFrame) -> DataFrame:
-    """``node, ancestor, depth`` from (id, parent): every ancestor that exists; a walk ends at a cycle."""
-    walk = nodes.sparkSession.sql(LEVELS, nodes=nodes.select("id", "parent"))
-    return walk.join(nodes.select(F.col("id").alias("ancestor")), "ancestor", "left_semi").select("node", "ancestor", "depth")
+    """``node, ancestor, depth`` from (id, parent): every ancestor that exists; a walk ends at a cycle.
+
+    Each round doubles the depth that is known: pairs of the greatest depth so far are joined with all pairs, and pairs met
+    before, which only a cycle brings back, are dropped. So the rounds grow with the logarithm of the depth.
+    """
+    edges = nodes.where("parent IS NOT NULL AND parent <> id").select("id", "parent")
+    up = edges.select(F.col("id").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("depth"))
+    known = _settled(up.join(nodes.select(F.col("id").alias("ancestor")), "ancestor", "left_semi").select("node", "ancestor", "depth"))
+    reach = 1
+    while True:
+        last = known.where(F.col("depth") == reach)
+        further = last.join(known.toDF("ancestor", "next", "more"), "ancestor").select("node", F.col("next").alias("ancestor"), (F.col("depth") + F.col("more")).alias("depth"))
+        further = _settled(further.where("node <> ancestor").join(known, ["node", "ancestor"], "left_anti").groupBy("node", "ancestor").agg(F.min("depth").alias("depth")))
+        if further.isEmpty():
+            return known.select("node", "ancestor", F.col("depth").cast("int").alias("depth"))
+        known, reach = _settled(known.unionByName(further)), 2 * reach
 
 
 def lowest_groups(nodes: DataFrame) -> DataFrame:

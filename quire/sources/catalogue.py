@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from quire.functions.text import clean
 
 #: Entries that stand for nothing.
-PLACEHOLDERS = ("-", "--", "?", "n/a", "na", "none", "null", "unknown", "s.n.", "[s.n.]", "s.l.", "[s.l.]", "neuvedeno", "nezjištěno", "bez názvu")
+PLACEHOLDERS = (
+    "neuveden", "neuvedeno", "neznámý", "nezjištěn", "nezjištěno", "bez nakladatele", "nezname_cislo",
+    "s. n.", "s. n.]", "[s. n.]", "[s. n.", "s. l.", "s. l.]", "[s. l.]", "[s. l.",
+)
 _TEXT = "STRUCT<_VALUE: STRING, _type: STRING>"
 RECORD = f"""STRUCT<titleInfo: ARRAY<STRUCT<_usage: STRING, title: STRING, subTitle: STRING, partNumber: STRING, partName: STRING>>,
  name: ARRAY<STRUCT<_usage: STRING, namePart: ARRAY<{_TEXT}>, role: STRUCT<roleTerm: ARRAY<{_TEXT}>>>>,

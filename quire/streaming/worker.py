@@ -22,15 +22,27 @@ def envelope(value: Column) -> Column:
 
 
 def run_jobs(jobs: DataFrame, process: Callable[[DataFrame], DataFrame], done: str, failed: str, checkpoint: str, interval: str | None = "5 seconds"):
-    """Process micro-batches of jobs (id, value); rows with a bad envelope and batches whose processing fails go to ``failed``."""
+    """Process micro-batches of jobs (id, value). Rows with a bad envelope go to ``failed``; where a batch fails its jobs run
+    again one by one, so that only those that fail themselves go there. A job's id must be its own. Each batch writes a
+    folder of its own, which a retry replaces."""
     def handle(df: DataFrame, n: int) -> None:
+        df = df.persist()
         parsed = df.select("id", "value", envelope(F.col("value")).alias("job"))
-        parsed.where("job.error IS NOT NULL").select("id", "value", F.col("job.error").alias("error")).write.mode("append").parquet(failed)
+        bad = [parsed.where("job.error IS NOT NULL").select("id", "value", F.col("job.error").alias("error"))]
         good = parsed.where("job.error IS NULL").select("id", "job.*")
         try:
-            process(good).write.mode("append").parquet(done)
-        except Exception as e:  # noqa: BLE001  a failing batch must not stop the worker
-            df.select("id", "value", F.lit(str(e)[:500]).alias("error")).write.mode("append").parquet(failed)
+            process(good).write.mode("overwrite").parquet(f"{done}/batch={n}")
+        except Exception:  # noqa: BLE001  a failing job must not stop the worker or the others
+            mode = "overwrite"
+            for row in good.select("id").toLocalIterator():
+                try:
+                    process(good.where(F.col("id") == row.id)).write.mode(mode).parquet(f"{done}/batch={n}")
+                    mode = "append"
+                except Exception as e:  # noqa: BLE001
+                    bad.append(df.where(F.col("id") == row.id).select("id", "value", F.lit(str(e)[:500]).alias("error")))
+        for i, rows in enumerate(bad):
+            rows.write.mode("append" if i else "overwrite").parquet(f"{failed}/batch={n}")
+        df.unpersist()
 
     writer = jobs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()

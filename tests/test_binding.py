@@ -28,7 +28,7 @@ def test_title_page(spark):
     f = binding.title_page_fields(r)
     got = {(x.page_key, x.target, x.field): x.texts for x in f.collect()}
     assert got["a", "volume", "title"] == got["a", "issue", "title"] == ["best"] and got["a", "volume", "author"] == ["x", "y"] and ("b", "volume", "title") not in got
-    assert {x.page_key: x.hierarchy for x in binding.hierarchy(r).collect()} == {"a": "periodical", "b": "multipart"}
+    assert {x.page_key: x.hierarchy for x in binding.hierarchy(r).collect()} == {"a": "monograph", "b": "multipart"}  # an issue label alone makes no periodical
     assert {x.page_key: (x.volume, x.issue) for x in binding.emitted(f).collect()} == {"a": (True, True), "b": (False, False)}
 
 
