@@ -123,3 +123,60 @@ def last_parts(path: Column, n: int = 3) -> Column:
 
 def uuid_of(pid: Column) -> Column:
     return F.lower(F.regexp_extract(pid, r"(?i)^(?:uuid:)?([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$", 1))
+
+
+#: Czech month names, nominative and genitive, January first.
+MONTHS = (("leden", "ledna"), ("únor", "února"), ("březen", "března"), ("duben", "dubna"), ("květen", "května"), ("červen", "června"), ("červenec", "července"), ("srpen", "srpna"), ("září",), ("říjen", "října"), ("listopad", "listopadu"), ("prosinec", "prosince"))
+
+#: Days between issues by the words for it; of several that a text holds the first counts.
+FREQUENCIES = {
+    "annual": 365, "biennial": 730, "bimonthly": 60, "biweekly": 14, "daily": 1, "monthly": 30, "quarterly": 90, "semimonthly": 15, "semiweekly": 3, "three times a month": 10, "triennial": 1095, "unknown": 0, "weekly": 7,
+    "denně": 1, "3x týdně": 2, "třikrát týdně": 2, "dvakrát týdně": 3, "2x týdně": 3, "týdeník": 7, "týdenník": 7, "týdně": 7, "1x týdně": 7, "jednou týdně": 7, "3x měsíčně": 10, "1x za 2 týdny": 14, "2x měsíčně": 15, "dvakrát měsíčně": 15,
+    "jednou měsíčně": 30, "1x měsíčně": 30, "měsíčně": 30, "6x ročně": 61, "5x ročně": 73, "4x ročně": 91, "3x ročně": 122, "2x ročně": 183, "1x ročně": 365, "ročně": 365, "ročenka": 365, "nepravidelně": 0, "nepradivelná": 0, "neznámá": 0, "neurčitá": 0,
+    "týždně": 7, "1x týždenne": 7, "2x týždenne": 3, "3x týždenne": 2, "mesačne": 30, "1x mesačne": 30, "2x mesačne": 15, "3x mesačne": 10, "4x mesačne": 7,
+}
+
+
+def czech_date(text: Column) -> Column:
+    """Dates as dd.mm.yyyy: months by number, single digits with a zero, no spaces."""
+    out = F.lower(text)
+    for i, names in enumerate(MONTHS, 1):
+        out = F.regexp_replace(out, rf"(?U)\b(?:{'|'.join(names)})\b", f"{i:02}.")
+    return F.replace(F.regexp_replace(out, r"(?U)\b(\d)\b", "0$1"), F.lit(" "), F.lit(""))
+
+
+def holds_date(line: Column, date: Column) -> Column:
+    """Whether a line names the date, with or without its year."""
+    t = czech_date(line)
+    return (F.trim(line) != "") & (t.contains(date) | t.contains(F.regexp_replace(date, r"\b\d{3,4}\b", "")))
+
+
+def frequency_days(text: Column) -> Column:
+    """Days between issues: of the text itself, else of the first known words in it, else 0."""
+    t = F.replace(F.lower(text), F.lit(";"), F.lit(""))
+    exact = F.create_map(*[F.lit(x) for kv in FREQUENCIES.items() for x in kv])[t]
+    return F.when(text.isNotNull(), F.coalesce(exact, *[F.when(t.contains(k), F.lit(d)) for k, d in FREQUENCIES.items()], F.lit(0)))
+
+
+def same_text(a: Column, b: Column) -> Column:
+    """Equal once normalised; nothing equals nothing alone."""
+    return normalise(a).eqNullSafe(normalise(b))
+
+
+def joined_label(*parts: Column, separator: str = " | ") -> Column:
+    """Parts that say something, trimmed; null if none does."""
+    said = F.concat_ws(separator, *[F.when(F.trim(p) != "", F.trim(p)) for p in parts])
+    return F.when(said != "", said)
+
+
+def joined_tokens(tokens: Column) -> Column:
+    """Named entities, array of struct(word, tag), of word pieces struct(word, tag): B- starts one, but a piece with ## and a tag
+    that ends in T goes on with the last one's word; I- adds a word to the last; special tokens and other tags go."""
+    def step(a: Column, t: Column) -> Column:
+        word, last = F.replace(t["word"], F.lit("##"), F.lit("")), F.get(a, F.size(a) - 1)
+        fresh = F.concat(a, F.array(F.struct(word.alias("word"), F.right(t["tag"], F.lit(1)).alias("tag"))))
+        longer = lambda glue: F.concat(F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.array(F.struct(F.concat(last["word"], F.lit(glue), word).alias("word"), last["tag"].alias("tag"))))
+        begins, goes_on = t["tag"].startswith("B-"), t["tag"].startswith("I-")
+        return F.when(begins & t["word"].startswith("##") & t["tag"].endswith("T") & (F.size(a) > 0), longer("")).when(goes_on & (F.size(a) > 0), longer(" ")).when(begins | goes_on, fresh).otherwise(a)
+
+    return F.aggregate(F.filter(tokens, lambda t: ~t["word"].isin("[CLS]", "[SEP]")), F.array().cast("array<struct<word:string,tag:string>>"), step)

@@ -148,3 +148,44 @@ def document_split(rows: DataFrame, doc: str, label: str, most: int, seed: str =
     d = rows.withColumn("_single", single).withColumn("_quota", F.least(F.floor(F.count(F.lit(1)).over(Window.partitionBy(label)) / 2), F.lit(most)))
     w = Window.partitionBy(label, "_single").orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(doc).cast("string"))), doc)
     return d.withColumn("_n", F.row_number().over(w)).withColumn("part", F.when(F.col("_single") & (F.col("_n") <= F.col("_quota")), "test").otherwise("train")).drop("_single", "_quota", "_n")
+
+
+def multilabel(df: DataFrame, probabilities: str, labels: str, thresholds: Sequence[float]) -> DataFrame:
+    """``threshold, class`` (from 0) with tp, tn, fp, fn, precision, recall, f1, accuracy; 0 where there is nothing to divide by."""
+    each = df.select(F.posexplode(F.arrays_zip(F.col(probabilities).alias("p"), F.col(labels).alias("l"))).alias("class", "v")).withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
+    said, true = F.col("v.p") >= F.col("threshold"), F.col("v.l") == 1
+    g = each.groupBy("threshold", "class").agg(F.count_if(said & true).alias("tp"), F.count_if(~said & ~true).alias("tn"), F.count_if(said & ~true).alias("fp"), F.count_if(~said & true).alias("fn"))
+    ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
+    g = g.withColumns({"precision": ratio(tp, tp + fp), "recall": ratio(tp, tp + fn), "accuracy": ratio(tp + tn, tp + tn + fp + fn)})
+    return g.withColumn("f1", ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+
+
+def macro(metrics: DataFrame, n_classes: int) -> DataFrame:
+    """Means of multilabel() over all classes but the last, which is padding."""
+    return metrics.where(F.col("class") < n_classes - 1).groupBy("threshold").agg(*[F.avg(c).alias(c) for c in ("precision", "recall", "f1", "accuracy")])
+
+
+def whole_positions(df: DataFrame, column: str, most: int = 1000) -> DataFrame:
+    """Positions as whole numbers from 0 to ``most`` - 1 or the greatest position, whichever is less; halves to the even."""
+    top = df.agg(F.max(column).alias("_top"))
+    return df.crossJoin(F.broadcast(top)).withColumn(column, F.bround(F.col(column) / F.col("_top") * F.least(F.col("_top"), F.lit(most - 1))).cast("long")).drop("_top")
+
+
+def notes(df: DataFrame, keys: Sequence[str], order: str, field: str, text: str, confidence: str) -> DataFrame:
+    """``note``: a line "field: text (0.00)" for each piece of evidence, in order, repeated ones once."""
+    line = F.format_string("%s: %s (%.2f)", F.col(field), F.col(text), F.col(confidence))
+    said = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("line")))), lambda x: x["line"])
+    return df.groupBy(*keys).agg(F.array_join(F.array_distinct(said), "\n").alias("note"))
+
+
+def years_within(first: Column, last: Column, from_year: int | None, to_year: int | None) -> Column:
+    """Known years inside the bounds, both included; without bounds any known years."""
+    out = first.isNotNull() & last.isNotNull()
+    out = out if from_year is None else out & (first >= from_year)
+    return F.coalesce(out if to_year is None else out & (last <= to_year), F.lit(False))
+
+
+def matched_counts(df: DataFrame, label: str, matched: Column) -> DataFrame:
+    """``label, matched, total``."""
+    return df.groupBy(label).agg(F.count_if(matched).alias("matched"), F.count(F.lit(1)).alias("total"))

@@ -143,3 +143,15 @@ def touching(df: DataFrame, keys: list[str], left: str, right: str) -> DataFrame
     d = df.withColumn("_new", F.coalesce((F.col(left) > top).cast("int"), F.lit(1)))
     d = d.withColumn("_id", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return d.groupBy(*keys, "_id").agg(F.min(left).alias(left), F.max(right).alias(right), F.count(F.lit(1)).alias("n")).drop("_id")
+
+
+def neighbour_values(df: DataFrame, keys: list[str], order: list, value: str, k: int) -> DataFrame:
+    """``around``: the values of the ``k`` rows before and after, 0 where there is none."""
+    w = _w(keys, order)
+    return df.withColumn("around", F.array(*[F.coalesce(F.lag(value, -i).over(w), F.lit(0).cast(df.schema[value].dataType)) for i in range(-k, k + 1) if i]))
+
+
+def running_position(df: DataFrame, keys: list[str], order: list, padding: Column, name: str = "place") -> DataFrame:
+    """The number, from 0, of each row that isn't padding; null for padding."""
+    n = F.sum((~padding).cast("int")).over(_w(keys, order).rowsBetween(Window.unboundedPreceding, 0))
+    return df.withColumn(name, F.when(~padding, n - 1))

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import assignment, sequences, trees
-from quire.plans import catalogue, demos  # noqa: F401
+from quire.plans import catalogue, contents, demos  # noqa: F401
 from quire.sources import catalogue as sources
 from quire.streaming import worker
 
