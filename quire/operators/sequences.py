@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.assignment import per_group
+
 
 def _w(keys, order):
     return Window.partitionBy(*keys).orderBy(*order)
@@ -42,27 +44,34 @@ def surrounding(df: DataFrame, keys: list[str], order: list, anchor: Column) ->
     return df.withColumn("anchor_before", F.last(anchor, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))).withColumn("anchor_after", F.first(anchor, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)))
 
 
-def bind_infants(df: DataFrame, keys: list[str], position: str, is_parent: Column, is_infant: Column, cover: Column) -> DataFrame:
-    """Parents of infant rows, with covers: a fold over the rows of a batch in order. A parent becomes current when it is
-    reached; one that is reached on the row after a cover takes the cover row as its own start.
+def infants_of(rows: list[tuple]) -> list[tuple]:
+    """(position, parent's position) of the infants among rows (position, parent, infant, front, back) of a batch in order.
 
-    Returns keys, ``position`` of the infant and ``parent`` (the position of its parent).
+    The first parent is current from the start, each further one from its own row on. A front cover, before its row's infant,
+    and a back cover, after it, move on to the next parent however far ahead it is, but only once the current parent's own
+    row is behind: of a back cover and the front cover after it one moves.
     """
-    row = F.struct(F.col(position).alias("at"), is_parent.alias("parent"), is_infant.alias("infant"), F.coalesce(cover, F.lit(False)).alias("cover"))
-    start = F.struct(F.lit(None).cast("long").alias("current"), F.array().cast("array<struct<at:long,parent:long>>").alias("out"))
-    rows = df.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("rows"))
-
-    def first_parent(rs: Column) -> Column:
-        return F.get(F.filter(rs, lambda r: r["parent"]), 0)["at"].cast("long")
-
-    def step(a: Column, r: Column) -> Column:
-        nxt = F.get(F.filter(F.col("rows"), lambda x: (x["at"] == r["at"] + 1) & x["parent"]), 0)["at"].cast("long")
-        current = F.when(r["parent"], r["at"].cast("long")).when(r["cover"] & nxt.isNotNull(), nxt).otherwise(a["current"])
-        mine = F.coalesce(current, first_parent(F.col("rows")))
-        return F.struct(current.alias("current"), F.when(r["infant"], F.concat(a["out"], F.array(F.struct(r["at"].cast("long").alias("at"), mine.alias("parent"))))).otherwise(a["out"]).alias("out"))
-
-    folded = rows.select(*keys, F.explode(F.aggregate("rows", start, step)["out"]).alias("o"))
-    return folded.select(*keys, F.col("o.at").alias(position), F.col("o.parent").alias("parent"))
+    parents = [r[0] for r in rows if r[1]]
+    out, now = [], 0
+    for at, _, infant, front, back in rows if parents else []:
+        if now + 1 < len(parents) and parents[now + 1] == at:
+            now += 1
+        if front and now + 1 < len(parents) and parents[now] < at:
+            now += 1
+        if infant:
+            out.append((at, parents[now]))
+        if back and now + 1 < len(parents) and parents[now] < at:
+            now += 1
+    return out
+
+
+def bind_infants(df: DataFrame, keys: list[str], position: str, is_parent: Column, is_infant: Column, front: Column, back: Column) -> DataFrame:
+    """Keys, ``position`` of each infant row and ``parent``, the position of its parent: infants_of() for every batch, in one
+    walk over its rows. A batch without parents gives none; null flags are false."""
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    rows = df.select(*keys, F.col(position).cast("long").alias(position), flag(is_parent).alias("_p"), flag(is_infant).alias("_i"), flag(front).alias("_f"), flag(back).alias("_b"))
+    types = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    return per_group(rows, keys, [position, "_p", "_i", "_f", "_b"], [position], f"{types}, {position} long, parent long", infants_of)
 
 
 def neighbours(df: DataFrame, keys: list[str], order: list, value: str) -> DataFrame:

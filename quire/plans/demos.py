@@ -544,4 +544,4 @@ def page_number_parse(spark, sf_dir):
 @query("bind_infants")
 def bind_infants(spark, sf_dir):
     e = read(spark, sf_dir, "events", "user_id", "event_id", "event_type")
-    return sequences.bind_infants(e, ["user_id"], "event_id", F.col("event_type") == "purchase", F.col("event_type") == "click", F.col("event_type") == "error")
+    return sequences.bind_infants(e, ["user_id"], "event_id", F.col("event_type") == "purchase", F.col("event_type") == "click", F.col("event_type") == "error", F.col("event_type") == "view")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import text
-from quire.operators import chapters
+from quire.operators import chapters, sequences
 
 COLUMNS = "page long, id long, x double, y double, w double, h double, confidence double"
 
@@ -68,3 +68,20 @@ def test_texts(spark):
     assert many(text.holds_date(F.col("v"), F.lit("03.05.1901")), "dne 3. května", "4. května 1901", " ") == [True, False, False]
     assert many(text.frequency_days(F.col("v")), "Týdně;", "prý 3x ročně", "občas", None) == [7, 122, 0, None]
     assert many(text.joined_label(F.col("v"), F.lit(" b ")), "a", " ", None) == ["a | b", "b", "b"]
+
+
+def test_infants(spark):
+    def rows(n, parents, front=(), back=()):
+        return [(0, i, i in parents, i in front, i in back) for i in range(n)]
+
+    def got(*args, **named):
+        df = spark.createDataFrame(rows(*args, **named), "batch int, at int, parent boolean, front boolean, back boolean")
+        out = sequences.bind_infants(df, ["batch"], "at", F.col("parent"), F.lit(True), F.col("front"), F.col("back"))
+        return [r.parent for r in out.orderBy("at").collect()]
+
+    assert got(5, {0, 4}) == [0, 0, 0, 0, 4]
+    assert got(5, {0, 4}, front={2}) == [0, 0, 4, 4, 4]
+    assert got(5, {0, 4}, back={2}) == [0, 0, 0, 4, 4]
+    assert got(6, {0, 4, 5}, front={3}, back={2}) == [0, 0, 0, 4, 4, 5]
+    assert got(3, {1, 2}, front={0}) == [1, 1, 2]
+    assert got(3, set(), front={0}) == []
