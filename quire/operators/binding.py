@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import geometry, numerals
@@ -20,9 +20,14 @@ FIELDS = {
 }
 
 
+def is_usable() -> Column:
+    """Whether a region has words, a box, a confidence and a text."""
+    there = F.col("matched") & geometry.finite(F.col("x"), F.col("y"), F.col("width"), F.col("height"), F.col("confidence")) & (F.trim("alto_text") != "")
+    return F.coalesce(there, F.lit(False))
+
+
 def usable(regions: DataFrame) -> DataFrame:
-    """Regions with words, a box, a confidence and a text."""
-    return regions.where(F.col("matched") & geometry.finite(F.col("x"), F.col("y"), F.col("width"), F.col("height"), F.col("confidence")) & (F.trim("alto_text") != ""))
+    return regions.where(is_usable())
 
 
 def page_numbers(regions: DataFrame, pages: DataFrame, label: str, band: float = 0.15, weight: float = 0.65, edge_only: bool = False) -> DataFrame:

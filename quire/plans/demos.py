@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quire.functions import geometry, numerals, text
-from quire.operators import assignment, rank, relations, sequences, trees
+from quire.operators import assignment, binding, rank, relations, sequences, trees
 from quire.plans.catalogue import query
 from quire.sources import catalogue as sources
 from quire.streaming import worker
@@ -51,13 +51,18 @@ def containment_filter(spark, sf_dir):
 
 @query("usable_rows", "SELECT doc_id, lang, source FROM documents WHERE text IS NOT NULL AND trim(text) <> '' AND n_chars > 100 AND lang IN ('en', 'de')")
 def usable_rows(spark, sf_dir):
-    return read(spark, sf_dir, "documents").where(F.col("text").isNotNull() & (F.trim("text") != "") & (F.col("n_chars") > 100) & F.col("lang").isin("en", "de")).select("doc_id", "lang", "source")
+    return binding.usable(_regions(spark, sf_dir)).select("doc_id", "lang", "source")
+
+
+def _regions(spark, sf_dir):
+    """Documents as regions; those of other languages or too few characters have no words."""
+    matched = (F.col("n_chars") > 100) & F.col("lang").isin("en", "de")
+    return read(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.col("text").alias("alto_text"), matched.alias("matched"), *[F.lit(1.0).alias(c) for c in ("x", "y", "width", "height", "confidence")])
 
 
 @query("rejected_rows", "SELECT doc_id, lang, source FROM documents WHERE NOT coalesce(text IS NOT NULL AND trim(text) <> '' AND n_chars > 100 AND lang IN ('en', 'de'), false)")
 def rejected_rows(spark, sf_dir):
-    good = F.col("text").isNotNull() & (F.trim("text") != "") & (F.col("n_chars") > 100) & F.col("lang").isin("en", "de")
-    return read(spark, sf_dir, "documents").where(~F.coalesce(good, F.lit(False))).select("doc_id", "lang", "source")
+    return _regions(spark, sf_dir).where(~binding.is_usable()).select("doc_id", "lang", "source")
 
 
 ROUTES = {"click": ("volume", "max"), "view": ("issue", "append"), "purchase": ("volume", "append"), "error": ("both", "max")}
@@ -72,8 +77,10 @@ def label_dimension_join(spark, sf_dir):
 @query("hierarchy_flag", """
 SELECT user_id, CASE WHEN bool_or(event_type = 'purchase') THEN 'periodical' WHEN bool_or(event_type IN ('error', 'signup')) THEN 'multipart' ELSE 'monograph' END AS hierarchy FROM events GROUP BY user_id""")
 def hierarchy_flag(spark, sf_dir):
-    e = read(spark, sf_dir, "events", "user_id", "event_type")
-    return e.groupBy("user_id").agg(F.when(F.bool_or(F.col("event_type") == "purchase"), "periodical").when(F.bool_or(F.col("event_type").isin("error", "signup")), "multipart").otherwise("monograph").alias("hierarchy"))
+    kind = F.col("event_type")
+    label = F.when(kind == "purchase", "PeriodicalVolumePartNumber").when(kind.isin("error", "signup"), "PartNumber").otherwise("Title")
+    regions = read(spark, sf_dir, "events").select(F.col("user_id").alias("page_key"), label.alias("label"), F.lit(True).alias("matched"), F.lit("x").alias("alto_text"), *[F.lit(1.0).alias(c) for c in ("x", "y", "width", "height", "confidence")])
+    return binding.hierarchy(regions).select(F.col("page_key").alias("user_id"), "hierarchy")
 
 
 @query("collect_in_order", "SELECT conv_id, string_agg(text, ' | ' ORDER BY turn, text) AS dialogue FROM conversations GROUP BY conv_id")
