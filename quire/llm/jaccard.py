@@ -26,9 +26,10 @@ from quire.llm.common import bounded, discard, small_batches, stable
 
 GROUPS = 256
 LEAF = 16
-#: Tiles that a task compares with each other before they are shuffled, documents among them at most, entries that one
-#: step of the meeting task holds, and entries of one row.
-CHUNK_TILES, CHUNK_DOCS, STEP_TILES, BLOB = 1 << 21, 1 << 16, 3 << 20, 1 << 14
+#: Bytes of texts that are hashed at a time (about 60 times as many are held then), tiles that a task compares with each
+#: other before they are shuffled, documents among them at most, entries that one step of the meeting task holds, and
+#: entries of one row.
+SLICE, CHUNK_TILES, CHUNK_DOCS, STEP_TILES, BLOB = 1 << 18, 1 << 20, 1 << 16, 1 << 20, 1 << 14
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -55,14 +56,9 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
-    """For each text the sorted distinct 64-bit hashes of its shingles of ``k`` words; a shorter text's words are one."""
-    raw = [(t or "").encode() for t in texts]
-    ends = np.cumsum([len(r) for r in raw], dtype=np.int64)
-    data = _LOWER[np.frombuffer(b"".join(raw), np.uint8)]
-    none = np.empty(0, np.uint64)
-    if not len(data):
-        return [none] * len(texts)
+def _word_hashes(raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of texts that lie one after another and end at ``ends``, and where each text's words begin."""
+    data = _LOWER[np.frombuffer(raw, np.uint8)]
     word = ~_SPACE[data]
     first = np.zeros(len(data) + 1, bool)
     first[0] = True
@@ -70,23 +66,56 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     begins = word.copy()
     begins[1:] &= ~word[:-1] | first[1:-1]
     starts = np.flatnonzero(begins)
+    bounds = np.concatenate([[0], np.searchsorted(starts, ends)])
     if not len(starts):
-        return [none] * len(texts)
+        return np.empty(0, np.uint64), bounds
     at = np.arange(len(data), dtype=np.int64) - np.repeat(np.concatenate([[0], starts]), np.diff(np.concatenate([[0], starts, [len(data)]])))
     at[~word] = 0
-    h = mixed(np.add.reduceat(np.where(word, (data.astype(np.uint64) + np.uint64(1)) * _powers(int(at.max()) + 1)[at], np.uint64(0)), starts))
-    bounds = np.concatenate([[0], np.searchsorted(starts, ends)])
+    return mixed(np.add.reduceat(np.where(word, (data.astype(np.uint64) + np.uint64(1)) * _powers(int(at.max()) + 1)[at], np.uint64(0)), starts)), bounds
+
+
+def _long_text(raw: bytes) -> np.ndarray:
+    """Hashes of the words of one text, about SLICE bytes at a time, cut at white space."""
+    spaces = np.flatnonzero(_SPACE[np.frombuffer(raw, np.uint8)])
+    at = np.searchsorted(spaces, np.arange(SLICE, len(raw), SLICE))
+    cuts = [0, *np.unique(spaces[at[at < len(spaces)]]).tolist(), len(raw)]
+    return np.concatenate([_word_hashes(raw[a:b], np.asarray([b - a]))[0] for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+
+
+def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its shingles of ``k`` words; a shorter text's words are one.
+
+    Beside the hashes of a text's words no more than about SLICE bytes of texts (or one longer word) are worked on at a time.
+    """
     salts = mixed(np.arange(1, k + 1, dtype=np.uint64) * _P) | np.uint64(1)
-    full = mixed(sum(h[j : len(h) - k + 1 + j] * salts[j] for j in range(k))) if len(h) >= k else none
-    out = []
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        n = b - a
-        if n >= k:
-            out.append(np.unique(full[a : b - k + 1]))
-        elif n:
-            out.append(mixed(np.atleast_1d((h[a:b] * salts[:n]).sum(dtype=np.uint64) + np.uint64(n))))
-        else:
-            out.append(none)
+    out: list[np.ndarray] = []
+    some: list[bytes] = []
+
+    def sets() -> None:
+        ends = np.cumsum([len(r) for r in some], dtype=np.int64)
+        h, bounds = (_long_text(some[0]), None) if len(some) == 1 and len(some[0]) > SLICE else _word_hashes(b"".join(some), ends)
+        bounds = np.asarray([0, len(h)]) if bounds is None else bounds
+        some.clear()
+        full = mixed(sum(h[j : len(h) - k + 1 + j] * salts[j] for j in range(k))) if len(h) >= k else h[:0]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            n = b - a
+            if n >= k:
+                out.append(np.unique(full[a : b - k + 1]))
+            elif n:
+                out.append(mixed(np.atleast_1d((h[a:b] * salts[:n]).sum(dtype=np.uint64) + np.uint64(n))))
+            else:
+                out.append(np.empty(0, np.uint64))
+
+    held = 0
+    for t in texts:
+        raw = (t or "").encode()
+        if some and held + len(raw) > SLICE:
+            sets()
+            held = 0
+        some.append(raw)
+        held += len(raw)
+    if some:
+        sets()
     return out
 
 

@@ -83,6 +83,16 @@ def test_every_link_shares_a_tile():
         assert np.intersect1d(jaccard.tiles(a, 80, table, firsts), jaccard.tiles(b, 80, table, firsts)).size
 
 
+def test_sets_do_not_depend_on_slices(monkeypatch):
+    rng = random.Random(5)
+    texts = [None, "", " \n", "a", "x" * 500, " " * 300, "x" * 90 + " y " + "z" * 200 + " q r s t", *[" ".join(rng.choice("abcdefg") * rng.randrange(1, 9) for _ in range(rng.randrange(60))) for _ in range(50)]]
+    whole = [jaccard.shingle_sets(texts, k) for k in (1, 4)]
+    for size in (16, 100, 333):
+        monkeypatch.setattr(jaccard, "SLICE", size)
+        for k, want in zip((1, 4), whole, strict=True):
+            assert all(np.array_equal(a, b) for a, b in zip(jaccard.shingle_sets(texts, k), want, strict=True))
+
+
 def test_tree_finds_what_a_scan_finds():
     rng = np.random.default_rng(1)
     points = rng.poisson(2, (150, jaccard.GROUPS)).astype(np.int32)
