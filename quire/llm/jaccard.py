@@ -349,7 +349,14 @@ class Sets:
 
     def members(self, nodes: DataFrame, n: int) -> DataFrame:
         """``node, n, members`` of ``nodes``; of texts that share a key, also of others."""
-        k = self.k
+        return self._made(nodes, n, "members array<long>", pa.list_(pa.int64()), lambda u: u.astype(np.int64))
+
+    def groups(self, nodes: DataFrame, n: int) -> DataFrame:
+        """Like ``members``, with the sorted numbers of 65,536 groups in place of the set, two bytes for each shingle."""
+        return self._made(nodes, n, "groups binary", pa.binary(), lambda u: np.sort((mixed(u ^ _M1) >> np.uint64(48)).astype("<u2")).tobytes())
+
+    def _made(self, nodes: DataFrame, n: int, column: str, kind: pa.DataType, of) -> DataFrame:
+        k, name = self.k, column.split()[0]
 
         def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             done: set[int] = set()
@@ -357,19 +364,14 @@ class Sets:
                 us = [u for u in shingle_sets(b.column(0).to_pylist(), k) if len(u)]
                 names = [node_of(u) for u in us]
                 new = [i for i, x in enumerate(names) if x not in done and not done.add(x)]
-                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in new], pa.int64()), pa.array([len(us[i]) for i in new], pa.int64()), pa.array([us[i].astype(np.int64) for i in new], pa.list_(pa.int64()))], ["node", "n", "members"])
+                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in new], pa.int64()), pa.array([len(us[i]) for i in new], pa.int64()), pa.array([of(us[i]) for i in new], kind)], ["node", "n", name])
 
-        return self.texts(nodes, n).select("body").mapInArrow(make, "node long, n long, members array<long>")
+        return self.texts(nodes, n).select("body").mapInArrow(make, f"node long, n long, {column}")
 
 
 def narrowed(pairs: DataFrame, n: int, sets: Sets, percent: int) -> DataFrame:
     """Those of ``n`` pairs (a, b) that a much finer point lets pass, 65,536 groups, as a table: it is sent as the sorted
     group numbers of a set, two bytes for each shingle, a quarter of the set itself."""
-    def fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            us = [np.asarray(u, np.int64).view(np.uint64) for u in b.column(2).to_numpy(zero_copy_only=False)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([np.sort((mixed(u ^ _M1) >> np.uint64(48)).astype("<u2")).tobytes() for u in us], pa.binary())], ["node", "n", "groups"])
-
     def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts = None, None
         for b in batches:
@@ -383,9 +385,8 @@ def narrowed(pairs: DataFrame, n: int, sets: Sets, percent: int) -> DataFrame:
 
     ends = pairs.select(F.col("b").alias("node"), "a")
     hubs = pairs.select(F.col("a").alias("node")).distinct()
-    of = lambda nodes: sets.members(nodes, n).mapInArrow(fine, "node long, n long, groups binary")
-    sent = of(ends.select("node").distinct()).join(bounded(ends, n, 32), "node").toDF("b", "nb", "gb", "a")
-    ga = of(hubs).join(bounded(hubs, n, 16), "node", "left_semi").toDF("a", "na", "ga")
+    sent = sets.groups(ends.select("node").distinct(), n).join(bounded(ends, n, 32), "node").toDF("b", "nb", "gb", "a")
+    ga = sets.groups(hubs, n).join(bounded(hubs, n, 16), "node", "left_semi").toDF("a", "na", "ga")
     return stable(sent.join(ga, "a").select("a", "b", "na", "nb", "ga", "gb").mapInArrow(passes, "a long, b long").distinct(), "narrowed")
 
 
