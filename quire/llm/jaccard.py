@@ -6,6 +6,10 @@ sets are first laid out in one tile for each range and content: the leaves below
 Within a tile, trees over the points bound the overlap of two sets by the summed minima of their coordinates, and of two
 boxes by those of their upper corners; pairs that the bound lets pass are verified on the sets themselves.
 
+A linked pair shares more tiles than the one that it needs, so each set leaves the most frequent ones out: as many as leave
+every link at least one tile, all sets in one order of tiles. What many documents have in common then lays few of them in
+one tile.
+
 A tile's sets are first compared with one pivot each; the components of these links are then left out of the trees'
 comparisons, which look only for links between different components: first for each set's most promising one, then, with
 what that has joined, for all that are left. So a group of any number of near copies costs about as many comparisons as it
@@ -19,13 +23,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import bounded, discard, small_batches, stable
 
 GROUPS = 256
 LEAF = 16
+#: The bits of a tile that name its level.
+LEVEL = 63
 #: Bytes of texts that are hashed at a time (about 60 times as many are held then), tiles that a task compares with each
 #: other before they are shuffled, documents among them at most, entries that one step of the meeting task holds, and
 #: entries of one row.
@@ -121,33 +127,47 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
 
 def levels(percent: int, top: int, ratio: float = 1.6) -> list[tuple[int, int, int]]:
     """Ranges of set sizes, each as (first size, differences at most, tiles). Two linked sets of which the larger lies in a
-    range have at most so many differences between them, so at least ``tiles - differences`` tiles agree."""
+    range have at most so many differences between them, so at least ``tiles - differences`` tiles agree. A third more tiles
+    than that needs keeps most sets from having so few that empty ranges count, and leaves them some to spare."""
     out, first = [], 1
     while first <= top:
         nxt = max(first + 1, int(first * ratio))
         most = 2 * (nxt - 1) * (100 - percent) // (100 + percent)
-        out.append((first, most, most + 1 + (1 + most // 10 if most else 0)))
+        out.append((first, most, most + 1 + (1 + most // 3 if most else 0)))
         first = nxt
-    return out
+    return out[: LEVEL + 1]
 
 
 def tiles(u: np.ndarray, percent: int, table: list[tuple[int, int, int]], firsts: np.ndarray) -> np.ndarray:
     """A set's tiles: one for each range of groups with something in it, at its own level and at those of larger partners.
-    Ranges without anything count as tiles too where so many are empty that a link might show in those alone."""
+    Ranges without anything count as tiles too where so many are empty that a link might show in those alone. The last six
+    bits of a tile are its level."""
+    return tiles_and_spares(u, percent, table, firsts)[0]
+
+
+def tiles_and_spares(u: np.ndarray, percent: int, table: list[tuple[int, int, int]], firsts: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The tiles of a set, and its first level followed by how many tiles it can spare at that level and at the next ones.
+
+    Of c ranges with something in them a partner's differences spoil as many as there are at most, so c less those are
+    shared. Without the c - differences - 1 greatest of its tiles, in an order that holds for all sets, a set still has the
+    least tile that both share; where ranges without anything count, none is spared.
+    """
     n = len(u)
     lo = int(np.searchsorted(firsts, n, side="right")) - 1
     hi = int(np.searchsorted(firsts, 100 * n // percent, side="right")) - 1
-    out, m = [], mixed(u + _P)
+    out, m, spares = [], mixed(u + _P), [lo]
     for lev in range(lo, hi + 1):
         _, most, number = table[lev]
         block = ((u >> _S32) * np.uint64(number)) >> _S32
         cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
         salt = mixed(np.asarray([lev * 1_000_003 + 17], np.uint64))[0]
-        out.append(mixed(np.add.reduceat(m, cut) + mixed(block[cut] + salt)))
+        own = [mixed(np.add.reduceat(m, cut) + mixed(block[cut] + salt))]
         if number - len(cut) >= number - most:
             empty = np.setdiff1d(np.arange(number, dtype=np.uint64), block[cut])
-            out.append(mixed(mixed(empty + salt) ^ _M1))
-    return np.concatenate(out)
+            own.append(mixed(mixed(empty + salt) ^ _M1))
+        out += [t & ~np.uint64(LEVEL) | np.uint64(lev) for t in own]
+        spares.append(max(0, len(cut) - most - 1))
+    return np.concatenate(out), spares
 
 
 def point(u: np.ndarray) -> np.ndarray:
@@ -155,6 +175,29 @@ def point(u: np.ndarray) -> np.ndarray:
     return np.bincount((mixed(u ^ _M2) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """A point in half a byte a group, or one, two or four bytes, as its greatest count needs."""
+    top = int(counts.max())
+    if top < 16:
+        return (counts[::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+    return counts.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes()
+
+
+def unpacked(points: list[bytes]) -> np.ndarray:
+    """The points of ``packed``, one in a row."""
+    size = np.asarray([len(p) for p in points], np.int64)
+    out = np.empty((len(points), GROUPS), np.int32)
+    for s in np.unique(size).tolist():
+        at = np.flatnonzero(size == s)
+        raw = b"".join([points[i] for i in at.tolist()])
+        if s < GROUPS:
+            half = np.frombuffer(raw, np.uint8).reshape(-1, s)
+            out[at[:, None], np.arange(0, GROUPS, 2)], out[at[:, None], np.arange(1, GROUPS, 2)] = half & 15, half >> 4
+        else:
+            out[at] = np.frombuffer(raw, f"<u{s // GROUPS}").reshape(-1, GROUPS)
+    return out
+
+
 def node_of(u: np.ndarray) -> int:
     """A set's 64-bit fingerprint."""
     return int(mixed(u * _M1 + _P).sum(dtype=np.uint64).astype(np.int64))
@@ -205,7 +248,7 @@ class Chunk:
         name = ((part << _S32) | (t & np.uint64(0xFFFFFFFF))).astype(np.int64)
         if (size > 1).any():
             joined = np.repeat(size > 1, size)
-            local = np.stack([name[joined], node[d[joined]], node[np.repeat(d[begin], size)[joined]]], axis=1)
+            local = np.stack([name[joined], node[d[joined]]], axis=1)
             for i in range(0, len(local), BLOB):
                 yield (int(local[i, 0]) + i // BLOB) % self.spots, -1, local[i : i + BLOB].tobytes()
         low, d, part = (t[first] & np.uint64(0xFFFFFFFF)).astype("<u4"), d[first], part[first].astype(np.int64)
@@ -230,9 +273,9 @@ def _entries(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def laid(docs: DataFrame, k: int, percent: int, key: str, text: str, top: int = 1 << 40) -> DataFrame:
-    """Two kinds of rows in one table: a row for each document, ``key, n, node`` (the size of its set and the set's
-    fingerprint, null if it is empty), and, where ``tile`` isn't null, the members of every tile that two or more different
-    sets share, ``node, tile, lo``, ``lo`` being another member (or itself) through which all members of a tile hang together.
+    """Two kinds of rows in one table: a row for each document, ``key, n, node, spares`` (the size of its set, the set's
+    fingerprint, null if it is empty, and what it can spare), and, where ``tile`` isn't null, the members of every tile that
+    two or more different sets share, ``node, tile``, some of them twice.
 
     Texts are hashed once and tiles shuffled once, packed into blobs. Tasks meet the entries part by part, in the order of a
     sort that may spill, so that memory holds about STEP_TILES of them.
@@ -244,7 +287,7 @@ def laid(docs: DataFrame, k: int, percent: int, key: str, text: str, top: int =
     body = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))
     chars = body.agg(F.sum(F.length("body"))).first()[0] or 0
     subs = max(1, -(-(chars // 10) // (spots * STEP_TILES)))  # a tile for about every ten characters
-    names = ["spot", "sub", "key", "n", "node", "blob"]
+    names, counts = ["spot", "sub", "key", "n", "node", "spares", "blob"], pa.list_(pa.int32())
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels(percent, top)
@@ -252,28 +295,30 @@ def laid(docs: DataFrame, k: int, percent: int, key: str, text: str, top: int =
         task = TaskContext.get()
         chunk, turn = Chunk(spots, subs), task.partitionId() if task else 0
 
-        def packed(ktype):
+        def sent(ktype):
             rows = list(chunk.rows())
             for i in range(0, len(rows), 256):
                 spot, sub, blob = zip(*rows[i : i + 256], strict=True)
                 none = pa.nulls(len(spot), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(spot, pa.int32()), pa.array(sub, pa.int32()), pa.nulls(len(spot), ktype), none, none, pa.array(blob, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([pa.array(spot, pa.int32()), pa.array(sub, pa.int32()), pa.nulls(len(spot), ktype), none, none, pa.nulls(len(spot), counts), pa.array(blob, pa.binary())], names)
 
         ktype = None
         for b in batches:
             ktype = b.column(0).type
-            n, node = [], []
+            n, node, spares = [], [], []
             for u in shingle_sets(b.column(1).to_pylist(), k):
                 n.append(len(u))
                 node.append(node_of(u) if len(u) else None)
+                own, spare = tiles_and_spares(u, percent, table, firsts) if len(u) else (None, None)
+                spares.append(spare)
                 if len(u) and node[-1] not in chunk.seen:
-                    chunk.add(node[-1], tiles(u, percent, table, firsts))
+                    chunk.add(node[-1], own)
                     if chunk.full():
-                        yield from packed(ktype)
+                        yield from sent(ktype)
             turn += 1
-            yield pa.RecordBatch.from_arrays([pa.array([turn % spots] * len(n), pa.int32()), pa.array([-1] * len(n), pa.int32()), b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.nulls(len(n), pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.array([turn % spots] * len(n), pa.int32()), pa.array([-1] * len(n), pa.int32()), b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(spares, counts), pa.nulls(len(n), pa.binary())], names)
         if ktype is not None:
-            yield from packed(ktype)
+            yield from sent(ktype)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spot = held = None
@@ -282,7 +327,7 @@ def laid(docs: DataFrame, k: int, percent: int, key: str, text: str, top: int =
 
         def members(rows: np.ndarray):
             none = pa.nulls(len(rows), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.nulls(len(rows), ktype), none, pa.array(rows[:, 1]), pa.array(rows[:, 0]), pa.array(rows[:, 2])], ["key", "n", "node", "tile", "lo"])
+            return pa.RecordBatch.from_arrays([pa.nulls(len(rows), ktype), none, pa.array(rows[:, 1]), pa.nulls(len(rows), counts), pa.array(rows[:, 0])], ["key", "n", "node", "spares", "tile"])
 
         def shared():
             if not blobs:
@@ -293,27 +338,25 @@ def laid(docs: DataFrame, k: int, percent: int, key: str, text: str, top: int =
             low, node = low[order], node[order]
             begin = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
             size = np.diff(np.append(begin, len(low)))
-            lo = np.minimum.reduceat(node, begin)
-            more = lo != np.maximum.reduceat(node, begin)
+            more = np.minimum.reduceat(node, begin) != np.maximum.reduceat(node, begin)
             there = np.repeat(more, size)
             part = np.int64(held[0]) * subs + held[1]
-            rows = np.stack([(part << 32) | low[there].astype(np.int64), node[there], np.repeat(lo, size)[there]], axis=1)
+            rows = np.stack([(part << 32) | low[there].astype(np.int64), node[there]], axis=1)
             for i in range(0, len(rows), 1 << 18):
                 yield members(rows[i : i + (1 << 18)])
 
         for b in batches:
             ktype = b.column(2).type
             sub = b.column(1).to_numpy()
-            signed = b.filter(b.column(5).is_null())
+            signed = b.filter(b.column(6).is_null())
             if len(signed):
-                none = pa.nulls(len(signed), pa.int64())
-                yield pa.RecordBatch.from_arrays([signed.column(2), signed.column(3), signed.column(4), none, none], ["key", "n", "node", "tile", "lo"])
-            for i, (spot, s, blob) in enumerate(zip(b.column(0).to_pylist(), sub.tolist(), b.column(5), strict=True)):
+                yield pa.RecordBatch.from_arrays([*signed.columns[2:6], pa.nulls(len(signed), pa.int64())], ["key", "n", "node", "spares", "tile"])
+            for i, (spot, s, blob) in enumerate(zip(b.column(0).to_pylist(), sub.tolist(), b.column(6), strict=True)):
                 if not blob.is_valid:
                     continue
                 raw = blob.as_buffer()
                 if s < 0:
-                    yield members(np.frombuffer(raw, np.int64).reshape(-1, 3))
+                    yield members(np.frombuffer(raw, np.int64).reshape(-1, 2))
                     continue
                 if held != (spot, s):
                     yield from shared()
@@ -321,19 +364,34 @@ def laid(docs: DataFrame, k: int, percent: int, key: str, text: str, top: int =
                 blobs.append(raw)
         yield from shared()
 
-    entries = body.mapInArrow(lay, f"spot int, sub int, key {kind}, n long, node long, blob binary")
-    met = entries.repartitionById(spots, F.col("spot")).sortWithinPartitions("sub").mapInArrow(meet, f"key {kind}, n long, node long, tile long, lo long")
+    entries = body.mapInArrow(lay, f"spot int, sub int, key {kind}, n long, node long, spares array<int>, blob binary")
+    met = entries.repartitionById(spots, F.col("spot")).sortWithinPartitions("sub").mapInArrow(meet, f"key {kind}, n long, node long, spares array<int>, tile long")
     return stable(met, "laid")
 
 
+def rarest(met: DataFrame) -> DataFrame:
+    """``tile, node`` of the members in ``laid`` without the most frequent tiles of each set, as many as it can spare.
+
+    Frequent are tiles of many rows, the greater of equal ones more so: one order for all sets, with unshared tiles, which
+    have no rows, at its lower end. A frequent tile is no window's key; those are sets, which have bounded numbers of tiles.
+    """
+    members = met.where("tile is not null").select("tile", "node")
+    spares = met.where("tile is null and node is not null").select(F.col("node").alias("its"), "spares").dropDuplicates(["its"])
+    level = F.col("tile").bitwiseAND(LEVEL).cast("int")
+    rows = members.join(members.groupBy("tile").agg(F.count(F.lit(1)).alias("rows")), "tile").join(spares, F.col("node") == F.col("its"))
+    rows = rows.withColumn("spare", F.get("spares", level - F.get("spares", F.lit(0)) + 1)).select("tile", "node", "rows", "spare")
+    rows = rows.withColumn("nth", F.dense_rank().over(Window.partitionBy("node", level).orderBy(F.desc("rows"), F.desc("tile"))))
+    return stable(rows.where("nth > spare").select("tile", "node").distinct(), "rarest")
+
+
 def points_of(docs: DataFrame, k: int) -> DataFrame:
-    """``node, n, point`` of texts given as ``body``; texts without words have no row."""
+    """``node, n, point`` of texts given as ``body``, the point as ``packed`` has it; texts without words have no row."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             us = [u for u in shingle_sets(b.column(0).to_pylist(), k) if len(u)]
-            yield pa.RecordBatch.from_arrays([pa.array([node_of(u) for u in us], pa.int64()), pa.array([len(u) for u in us], pa.int64()), pa.array([point(u) for u in us], pa.list_(pa.int32()))], ["node", "n", "point"])
+            yield pa.RecordBatch.from_arrays([pa.array([node_of(u) for u in us], pa.int64()), pa.array([len(u) for u in us], pa.int64()), pa.array([packed(point(u)) for u in us], pa.binary())], ["node", "n", "point"])
 
-    return docs.select("body").mapInArrow(make, "node long, n long, point array<int>")
+    return docs.select("body").mapInArrow(make, "node long, n long, point binary")
 
 
 class Sets:
@@ -467,10 +525,16 @@ def verified(pairs: DataFrame, points: DataFrame, sets: Sets, labels: DataFrame
     """
     size = points.select("node", "n")
     alike = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            most = np.minimum(*(unpacked(b.column(c).to_pylist()) for c in ("pa", "pb"))).sum(axis=1, dtype=np.int64)
+            both = b.column("na").to_numpy() + b.column("nb").to_numpy()
+            out = pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(most / both, pa.float64())], ["a", "b", "share"])
+            yield out.filter(pa.array((100 + percent) * most >= percent * both))
+
     near = alike.join(points.select(F.col("node").alias("a"), F.col("point").alias("pa")), "a").join(points.select(F.col("node").alias("b"), F.col("point").alias("pb")), "b")
-    most = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda s, x: s + x)
-    near = near.withColumn("most", most).where((100 + percent) * F.col("most") >= percent * (F.col("na") + F.col("nb")))
-    near = stable(near.select("a", "b", (F.col("most") / (F.col("na") + F.col("nb"))).alias("share")).distinct(), "near")
+    near = stable(near.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(bound, "a long, b long, share double").distinct(), "near")
     first = stable(near.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b"), "first")
     for step in (first, near):
         todo, n = step, step.count()
@@ -531,8 +595,7 @@ def _across(percent: int, best: bool):
         def found(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
             t = pa.Table.from_batches(rows)
             node, n, component = (t.column(c).to_numpy() for c in ("node", "n", "component"))
-            points = t.column("point").combine_chunks()
-            tree = RTree(points.flatten().to_numpy().reshape(len(points), -1), n, component, percent)
+            tree = RTree(unpacked(t.column("point").to_pylist()), n, component, percent)
             p = tree.pairs()
             if best:
                 p = tree.best(p)
@@ -565,7 +628,7 @@ def _crossing(members: DataFrame, points: DataFrame, labels: DataFrame, n: int,
     component. So of a large group of near copies only its few outsiders are compared with it, not its members with each
     other.
     """
-    known = members.select("tile", "node").distinct()
+    known = members
     if labels is None:
         labels = known.select("node", F.col("node").alias("component")).limit(0)
     known = known.join(bounded(labels, n, 40), "node", "left").select("tile", "node", F.coalesce("component", "node").alias("component"))
@@ -589,7 +652,7 @@ def _crossing(members: DataFrame, points: DataFrame, labels: DataFrame, n: int,
     return out
 
 
-def join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", chunk: int = 512) -> DataFrame:
+def join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", chunk: int = 1024) -> DataFrame:
     """Links documents of which 100 * shared >= ``percent`` * all of their distinct shingles of ``k`` words are common:
     ``key, n_shingles, component_id`` (the least key that links lead to, itself included).
 
@@ -603,8 +666,9 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", te
     Shuffled are the tiles (about half of one for each shingle, 5 to 13 bytes each) and the sets of documents that share one.
     """
     met = laid(docs, k, percent, key, text)
-    signed, members = met.where("tile is null").select("key", "n", "node"), met.where("tile is not null").select("tile", "node", "lo")
-    pivots = stable(members.where("node <> lo").select(F.least("lo", "node").alias("a"), F.greatest("lo", "node").alias("b")).distinct(), "pivots")
+    signed, members = met.where("tile is null").select("key", "n", "node"), rarest(met)
+    least = members.groupBy("tile").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("tile", "a")
+    pivots = stable(members.join(least, "tile").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "pivots")
     nodes = pivots.select(F.col("a").alias("node")).union(pivots.select("b")).distinct()
 
     classes = signed.where("node is not null").groupBy("node").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"))
@@ -634,7 +698,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", te
     home = home.join(home.groupBy("component").agg(F.min("least").alias("id")), "component").select("node", "id")
     same = classes.join(home, "node", "left").where("copies > 1 or id is not null").select(F.col("node").alias("its"), F.coalesce("id", "least").alias("id"))
     out = stable(signed.join(same, F.col("node") == F.col("its"), "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("id", "key").alias("component_id")), "joined")
-    discard(met, chosen, labels)
+    discard(met, members, chosen, labels)
     return out
 
 
@@ -643,7 +707,8 @@ def distinct(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id"
 
     Rows are linked by their own contents (two 64-bit hashes of all columns beside the key), not by key alone: different
     texts under one key, or without a key, each stay unless they are linked. A null key is the greatest. Rows without words (null, empty and blank texts) are one for each key; each
-    stays where that is null. An empty table gives an empty one.
+    stays where that is null. An empty table gives an empty one. The rows are read from ``docs`` when they are needed, so
+    they aren't written here; a small table of those that stay is.
     """
     names = [F.col(f"`{c}`") for c in docs.columns]
     name = F.struct(F.col(f"`{key}`").isNull().alias("no_key"), F.col(f"`{key}`").alias("key"), F.xxhash64(*names).alias("h1"), F.xxhash64(F.lit("second"), *names).alias("h2"))
@@ -660,8 +725,6 @@ def distinct(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id"
     out = kept("copies = 1", small.n - small.twice)
     if small.twice:
         out = out.union(kept("copies > 1", small.twice).dropDuplicates())
-    out = stable(out, "distinct")
-    discard(stays)
     return out
 
 

@@ -83,6 +83,59 @@ def test_every_link_shares_a_tile():
         assert np.intersect1d(jaccard.tiles(a, 80, table, firsts), jaccard.tiles(b, 80, table, firsts)).size
 
 
+def test_rare_tiles_keep_every_link_and_few_other_pairs(spark):
+    """Documents around one passage share tiles without being linked: those tiles are spared, and no link is lost."""
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [[*passage, *(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(110, 220)))] for _ in range(120)]
+    texts += [[*t[:-n], *(f"v{rng.randrange(10**6)}" for _ in range(n))] for n, t in enumerate(texts[:12], 1)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    sets = jaccard.shingle_sets([" ".join(t) for t in texts], 5)
+    by_node = {jaccard.node_of(u): u for u in sets}
+    met = jaccard.laid(df, 5, 80, "doc_id", "text")
+
+    def pairs(rows):
+        by = defaultdict(set)
+        for r in rows:
+            by[r.tile].add(r.node)
+        return {(a, b) for s in by.values() for a in s for b in s if a < b}
+
+    def linked(a, b):
+        both = len(np.intersect1d(by_node[a], by_node[b]))
+        return 100 * both >= 80 * (len(by_node[a]) + len(by_node[b]) - both)
+
+    every, some = pairs(met.where("tile is not null").collect()), pairs(jaccard.rarest(met).collect())
+    links = {(a, b) for a in by_node for b in by_node if a < b and linked(a, b)}
+    assert len(links) == 12 and links <= some <= every and len(some - links) * 10 < len(every - links)
+
+
+def test_spared_tiles_lose_no_link_in_any_order():
+    """Pairs with as few common members as a link may have, tiles in a random order."""
+    rng = np.random.default_rng(3)
+    for percent in (60, 80, 85):
+        table = jaccard.levels(percent, 5000)
+        firsts = np.asarray([f for f, _, _ in table])
+        for _ in range(150):
+            n = int(rng.integers(1, 500))
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            gone = int(rng.integers(0, len(a) * (100 - percent) // 100 + 1))
+            both = rng.permutation(a)[gone:]
+            own = rng.integers(0, 1 << 63, max(0, 100 * len(both) // percent - len(a))).astype(np.uint64)
+            b, salt = np.unique(np.concatenate([both, own])), np.uint64(rng.integers(1 << 62))
+            left = []
+            for u in (a, b):
+                t, spares = jaccard.tiles_and_spares(u, percent, table, firsts)
+                t = t[np.argsort(jaccard.mixed(t ^ salt))]
+                left.append(np.concatenate([t[(t & np.uint64(jaccard.LEVEL)) == lev][spare:] for lev, spare in enumerate(spares[1:], spares[0])]))
+            assert not len(both) or np.intersect1d(*left).size
+
+
+def test_points_are_packed_whole():
+    rng = np.random.default_rng(2)
+    points = [rng.poisson(m, jaccard.GROUPS).astype(np.int32) for m in (0, 1, 3, 30, 300, 70_000)]
+    assert (jaccard.unpacked([jaccard.packed(p) for p in points]) == np.stack(points)).all()
+
+
 def test_sets_do_not_depend_on_slices(monkeypatch):
     rng = random.Random(5)
     texts = [None, "", " \n", "a", "x" * 500, " " * 300, "x" * 90 + " y " + "z" * 200 + " q r s t", *[" ".join(rng.choice("abcdefg") * rng.randrange(1, 9) for _ in range(rng.randrange(60))) for _ in range(50)]]
