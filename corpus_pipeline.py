@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import jaccard, mixing, packing, quality
-from quire.llm.common import discard, numbered, stable, table
+from quire.llm.common import bounded, discard, stable, table
 from quire.llm.queries import WINDOW, pseudonymised, tokenizer_path
 
 
@@ -44,13 +44,27 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it; those that it doesn't take go.
 
-    Rows are mixed by their own numbers, so that null and repeated doc_ids neither lose nor multiply rows; null texts have
-    no words and a null source is a source; an empty table gives an empty one.
+    Rows are mixed one by one, so that null and repeated doc_ids neither lose nor multiply rows; equal rows, known by two
+    64-bit hashes of all columns, share what the mix takes of them. Null texts have no words and a null source is a source;
+    an empty table gives an empty one. Texts are read where they are: written here are the numbers of copies alone.
     """
-    rows = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("of")), "row")
-    mixed = mixing.mix(rows.select("row", *[F.col("of").getField(c).alias(c) for c in ("doc_id", "source", "text")]), row="row")
-    copies = mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
-    return rows.join(copies, "row").select("of.*")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    free = "row" + "_" * max(map(len, docs.columns))  # a name that no column has
+    named = docs.withColumn(free, F.struct(F.xxhash64(*names).alias("h1"), F.xxhash64(F.lit("second"), *names).alias("h2")))
+    mixed = mixing.mix(named.select(free, "doc_id", "source", "text"), row=free)
+    copies = stable(mixed.groupBy(free).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0"), "copies")
+    n = copies.groupBy().agg(F.count(F.lit(1)).alias("once"), F.coalesce(F.sum((F.col("rows") > 1).cast("int")), F.lit(0)).alias("equal")).first()
+
+    def taken(rows: DataFrame, which: str, most: int) -> DataFrame:
+        some = copies.where(which).select(free, F.col("copies").alias(free + "_"))
+        each = rows.join(bounded(some, most, 64), free)
+        return each.select(*names, F.explode(F.sequence(F.lit(1), F.col(free + "_").cast("int"))).alias(free)).select(*names)
+
+    out = taken(named, "rows = 1", n.once - n.equal)
+    if n.equal:
+        equal = named.join(bounded(copies.where("rows > 1").select(free), n.equal, 48), free, "left_semi").dropDuplicates([free])
+        out = out.union(taken(equal, "rows > 1", n.equal))
+    return out
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
