@@ -194,8 +194,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, text: str = "te
         step = 4 * capacity
         for b in batches:
             rows = []
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = enc.all_ids(t or "") + last
+            for k, ids in zip(b.column(0).to_pylist(), enc.many_ids(b.column(1)), strict=True):
+                ids += last
                 rows += [(k, i // step, i // 4, (min(len(ids), i + step) - i) // 4, zlib.crc32(memoryview(ids)[i : i + step])) for i in range(0, len(ids), step)]
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (b.schema.types[0], pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["key", "piece", "start", "length", "ids_crc32"])

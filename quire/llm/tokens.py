@@ -2,7 +2,7 @@
 
 Texts are encoded in overlapping chunks with offsets, and neighbouring chunks are spliced where both agree. The units of a
 chunk are the library's tokens; for a tokenizer that drops white space they are the words between it, whose ids don't
-depend on each other and come from a bounded cache.
+depend on each other and come from a bounded cache. Ids of many whole texts take one lookup for each different part of a word.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,8 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         spec = json.loads(self.tok.to_str())
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec.get("added_tokens", [])) or "(?!)")
+        self.added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.special = re.compile("|".join(map(re.escape, self.added)) or "(?!)")
         self.drops_space = _drops_space(spec)
         if self.drops_space:
             vocab = self.tok.get_vocab()
@@ -120,16 +122,58 @@ class Encoder:
             out.append(self.odd[w])
         return b"".join([*out, self._plain(" ".join(plain))])
 
+    def many_ids(self, texts: pa.Array, size: int = 4 << 20) -> Iterator[bytes]:
+        """As all_ids() of each text of an Arrow array, in order; null is empty.
+
+        For a tokenizer that drops white space, neighbouring texts of ``size`` bytes in all are split at once, and each
+        different part of them is looked up once. A longer text is taken alone, as is one that isn't plain.
+        """
+        texts = pc.fill_null(texts, "")
+        if not self.drops_space:
+            for t in texts:
+                yield self.all_ids(t.as_py())
+            return
+        ends = pc.binary_length(texts).to_numpy().astype("i8").cumsum()
+        at = before = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+            if ends[end - 1] - before > size:
+                yield self.all_ids(texts[at].as_py())
+            else:
+                yield from self._together(texts.slice(at, end - at).cast(pa.string()))
+            at, before = end, ends[end - 1]
+
+    def _together(self, texts: pa.StringArray) -> Iterator[bytes]:
+        kinds, begins = _bytes(texts)
+        bad = np.zeros(len(texts), bool)
+        bad[np.searchsorted(begins, np.flatnonzero(kinds == _OTHER_BYTE), side="right") - 1] = True
+        for t in self.added:
+            bad |= pc.match_substring(texts, t).to_numpy(zero_copy_only=False)
+        odd = {i: texts[i].as_py() for i in np.flatnonzero(bad).tolist()}
+        if odd:
+            texts = pc.if_else(pa.array(bad), "", texts)
+            kinds, begins = _bytes(texts)
+        parts, first = _parts(texts, kinds, begins)
+        each = parts.dictionary_encode()
+        ids = pa.array(self._found(each.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(each.indices)
+        _, cuts, raw = ids.buffers()
+        cuts = np.frombuffer(cuts, "<i8")[first].tolist() if len(ids) else [0] * len(first)
+        raw = memoryview(raw or b"")
+        for k, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            yield self.ids(odd[k]) if k in odd else raw[i:j].tobytes()
+
     def _plain(self, text: str) -> bytes:
-        parts = _PARTS.findall(text.lower())
+        return b"".join(self._found(_PARTS.findall(text.lower())))
+
+    def _found(self, parts: list[str]) -> list[bytes]:
         found = list(map(self.parts.get, parts))
         if None in found:
             new = {x for x, y in zip(parts, found, strict=True) if y is None}
             if len(self.parts) + len(new) > self.max_parts:
                 self.older, self.parts, new = self.parts, {}, set(parts)
             self._learn(new)
-            found = list(map(self.parts.get, parts))
-        return b"".join(found)
+            found = [self.parts[x] if y is None else y for x, y in zip(parts, found, strict=True)]
+        return found
 
     def _learn(self, new: set[str]) -> None:
         """Each part is one unit of the tokenizer's merges, and only the last of its tokens ends a word."""
@@ -163,6 +207,60 @@ class Encoder:
 _TO_SPACE = str.maketrans("\t\n\x0b\x0c\r", "     ")
 
 
+#: Kinds of UTF-8 bytes: white space, digit, letter, mark, and those that no plain text has. The plain characters beyond ASCII
+#: all begin with C3 and are letters, so each of their bytes tells this by itself.
+_SPACE_BYTE, _DIGIT_BYTE, _LETTER_BYTE, _MARK_BYTE, _OTHER_BYTE = range(5)
+_KINDS = bytes(
+    _SPACE_BYTE if 9 <= b <= 13 or b == 32
+    else _DIGIT_BYTE if 48 <= b <= 57
+    else _LETTER_BYTE if 65 <= b <= 90 or 97 <= b <= 122 or b == 0xC3 or 0x80 <= b <= 0xBF and b not in (0x97, 0xB7)
+    else _MARK_BYTE if 32 < b < 127
+    else _OTHER_BYTE
+    for b in range(256)
+)
+#: Lower case of the bytes of plain text: A to Z, and the second bytes of À to Þ.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))
+
+
+def _bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The kinds of all bytes of texts without null, and where each text begins among them; one more begin is the end."""
+    begins = np.frombuffer(texts.buffers()[1], "<i4")[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(_raw(texts, begins).translate(_KINDS), "u1"), begins - begins[0]
+
+
+def _raw(texts: pa.StringArray, begins: np.ndarray) -> bytes:
+    data = texts.buffers()[2]
+    return data.slice(int(begins[0]), int(begins[-1] - begins[0])).to_pybytes() if data else b""
+
+
+def _parts(texts: pa.StringArray, kinds: np.ndarray, begins: np.ndarray) -> tuple[pa.StringArray, np.ndarray]:
+    """All matches of _PARTS in plain texts in lower case, and the number of those before each text and in all."""
+    n = len(kinds)
+    offsets = np.frombuffer(texts.buffers()[1], "<i4")[texts.offset : texts.offset + len(texts) + 1]
+    low = _raw(texts, offsets).translate(_LOWER)
+    raw = np.frombuffer(low, "u1")
+    new = np.ones(n + 1, bool)  # where a part, or white space, begins
+    if n:
+        np.not_equal(kinds[1:], kinds[:-1], out=new[1:n])
+        new[:n] |= kinds == _DIGIT_BYTE
+        new[begins] = True
+        # an apostrophe alone takes s, t, m, d, re, ve or ll with it
+        at = np.flatnonzero(raw == 39)
+        at = at[new[at] & new[at + 1]]
+        text_end = begins[np.searchsorted(begins, at, side="right")]
+        one, two = (np.where(at + k < text_end, raw[np.minimum(at + k, n - 1)], 0) for k in (1, 2))
+        short = np.isin(one, np.frombuffer(b"stmd", "u1"))
+        long = (two == 101) & ((one == 114) | (one == 118)) | (one == 108) & (two == 108)
+        new[at[short | long] + 1] = False
+        new[at[short] + 2] = True
+        new[at[long] + 3] = True
+    starts = np.flatnonzero(new).astype("<i4")
+    runs = pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(low))
+    word = kinds[starts[:-1]] != _SPACE_BYTE
+    before = np.concatenate([[0], np.cumsum(word)])
+    return runs.filter(pa.array(word)), before[np.searchsorted(starts, begins)]
+
+
 def _drops_space(spec: dict) -> bool:
     """Whether the tokenizer's own description shows that no token spans white space and that words don't affect each other."""
     norm = spec.get("normalizer") or {}

@@ -1,12 +1,14 @@
 """Operators on single texts: pseudonyms, token counts, quality, page text, toxicity, rotation."""
 
 import itertools
+import random
 import re
 import time
 from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,35 @@ def test_ids_are_the_librarys(enc):
         assert np.frombuffer(enc.all_ids(t, size=3), "<u4").tolist() == ids
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_ids_of_many_texts_are_the_librarys(name):
+    rng, e = random.Random(5), tokens.Encoder(tokenizer_path(name))
+    some = ["'", "'s", "'S", "'re", "'Ve", "'ll", "l", "r", "e", "d", "12", "!", "|", " ", "\n", "\t ", "É", "ÿ", "ß", "Àö", "Zz", "<|endoftext|>", "<|", "|>", "×", "÷", "\x85", "\xa0", "\x1c", "\x7f", "é", "日", "𝔘"]
+    texts = [*STRANGE, None, "", "'", "'s", " 's", "''s", "'s's'll'", "'l", "'r", "' s", *("".join(rng.choices(some[: rng.choice([21, len(some)])], k=rng.randint(0, 30))) for _ in range(3000)), None]
+    want = [np.asarray(x, "<u4").tobytes() for x in e.library([t or "" for t in texts])]
+    for size in (1, 40, 4 << 20):
+        assert list(e.many_ids(pa.array(texts), size)) == want
+    assert list(e.many_ids(pa.array(["cut", *texts]).slice(1).cast(pa.large_string()))) == want
+    assert list(e.many_ids(pa.array([], pa.string()))) == [] and list(e.many_ids(pa.array([None, " \n"]))) == list(map(e.ids, ["", " \n"]))
+
+
+def test_texts_of_a_batch_look_up_each_part_once():
+    """What a batch costs follows its different parts, not its length: every part of every text was looked up before."""
+
+    class Counting(dict):
+        n = 0
+
+        def get(self, *a):
+            Counting.n += 1
+            return super().get(*a)
+
+    text = "The cat's 2 dogs, the cat's dogs! " * 50
+    e = tokens.Encoder(tokenizer_path())
+    e.parts = Counting()
+    assert list(e.many_ids(pa.array([text] * 40))) == [np.asarray(e.library([text])[0], "<u4").tobytes()] * 40
+    assert Counting.n == len({"the", "cat", "'s", "2", "dogs", ",", "!"})
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
 def test_spliced_chunks_equal_the_whole(name):
     e, stats = tokens.Encoder(tokenizer_path(name)), {}
