@@ -2,7 +2,8 @@
 
 Texts are encoded in overlapping chunks with offsets, and neighbouring chunks are spliced where both agree. The units of a
 chunk are the library's tokens; for a tokenizer that drops white space they are the words between it, whose ids don't
-depend on each other and come from a bounded cache. Ids of many whole texts take one lookup for each different part of a word.
+depend on each other. Chunks of many texts are split into words and spliced together, and each different word of them is
+encoded once. Ids of many whole texts take one lookup for each different part of a word.
 """
 
 from __future__ import annotations
@@ -342,22 +343,123 @@ def _common(ls: list[int], li: list[bytes], rs: list[int], ri: list[bytes], run:
     return good[len(good) // 2] if good else None
 
 
+#: Whether a byte is ASCII white space.
+_IS_SPACE = bytes(9 <= b <= 13 or b == 32 for b in range(256))
+
+
+def spliced_counts(enc: Encoder, texts: pa.Array, chunk: int, overlap: int, run: int = 4, size: int = 4 << 20) -> list[int]:
+    """Number of ids that spliced() gives for each text of an Arrow array; null has none.
+
+    For a tokenizer that drops white space, the chunks of neighbouring texts of ``size`` bytes in all are taken together. A
+    longer text goes in stretches of whole chunks, each of which begins with the last chunk of the one before; that chunk is
+    counted once. Texts of which two neighbouring chunks agree nowhere in their overlap are spliced one by one, with wider
+    overlaps.
+    """
+    texts = pc.fill_null(texts, "")
+    if not enc.drops_space or chunk < 2 * overlap:  # of wider overlaps one could reach into the next
+        return [sum(map(len, spliced(enc, t, chunk, overlap))) // 4 for t in texts.to_pylist()]
+    ends = pc.binary_length(texts).to_numpy().astype("i8").cumsum()
+    out: list[int] = []
+    at = before = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+        if ends[end - 1] - before > size:
+            text, step = texts[at].as_py(), chunk - overlap
+            far = max(1, (size // 4 - chunk) // step) * step
+            begins = range(0, max(1, len(text) - chunk), far)
+            parts = [int(_spliced_together(enc, pa.array([text[i : i + far + chunk]]), chunk, overlap, run)[0]) for i in begins]
+            twice = _spliced_together(enc, pa.array([text[i : i + chunk] for i in begins[1:]], pa.string()), chunk, overlap, run)
+            got = [-1 if -1 in parts else sum(parts) - int(twice.sum())]
+        else:
+            got = _spliced_together(enc, texts.slice(at, end - at).cast(pa.string()), chunk, overlap, run).tolist()
+        out += [sum(map(len, spliced(enc, texts[at + k].as_py(), chunk, overlap, run))) // 4 if n < 0 else n for k, n in enumerate(got)]
+        at, before = end, ends[end - 1]
+    return out
+
+
+def _spliced_together(enc: Encoder, texts: pa.StringArray, chunk: int, overlap: int, run: int) -> np.ndarray:
+    """Numbers of ids of texts without null from their chunks, spliced as in spliced(); -1 where an overlap is too narrow."""
+    if not len(texts):
+        return np.zeros(0, "i8")
+    begins = np.frombuffer(texts.buffers()[1], "<i4")[texts.offset : texts.offset + len(texts) + 1]
+    data, begins = _raw(texts, begins), begins - begins[0]
+    # bytes [a, b) of each chunk, its text, and where it begins among all chunks
+    chars = np.append(np.flatnonzero(np.frombuffer(data, "u1") & 0xC0 != 0x80), len(data))
+    first = np.searchsorted(chars, begins)
+    step = chunk - overlap
+    each = 1 + np.maximum(0, -((chunk - np.diff(first)) // step))
+    of = np.repeat(np.arange(len(texts)), each)
+    a = first[of] + step * (np.arange(len(of)) - np.repeat(each.cumsum() - each, each))
+    a, b = chars[a], chars[np.minimum(a + chunk, first[of + 1])]
+    view = memoryview(data)
+    cut = b"".join([view[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+    at = np.concatenate([[0], (b - a).cumsum()])
+    # words of each chunk: those at its edges may be parts of words
+    space = np.frombuffer(cut.translate(_IS_SPACE), bool)
+    edge = np.zeros(len(cut) + 1, bool)
+    edge[at] = True
+    starts, ends = ~space, ~space
+    starts[1:] &= space[:-1] | edge[1:-1]
+    ends[:-1] &= space[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    begin = np.searchsorted(starts, at)  # first word of each chunk
+    left = np.flatnonzero(of[1:] == of[:-1])  # chunks that have a neighbour on the right
+    right = left + 1
+    # words in the overlaps, left and right
+    li, lo = _ranges(np.searchsorted(starts, at[left] + a[right] - a[left]), begin[right])
+    ri, ro = _ranges(begin[right], np.searchsorted(starts, at[right] + b[left] - a[right]))
+    few = np.bincount(lo, minlength=len(left)) < 2 * run
+    if few.any():  # these overlaps are too narrow whatever their words are
+        bad = np.zeros(len(texts), bool)
+        bad[of[left[few]]] = True
+        return np.where(bad, -1, _spliced_together(enc, pc.if_else(pa.array(bad), "", texts), chunk, overlap, run))
+    offsets = np.concatenate([[0], (ends - starts).cumsum()]).astype("<i4")
+    letters = cut.translate(None, b"\t\n\x0b\x0c\r ")
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
+    ids = pa.array(list(enc.many_ids(words.dictionary)), pa.large_binary())
+    code = words.indices.to_numpy()
+    tokens = np.concatenate([[0], (pc.binary_length(ids).to_numpy() // 4)[code].cumsum()])  # before each word
+    kind = ids.dictionary_encode().indices.to_numpy()[code]  # the same for the same ids
+    out = np.add.reduceat(tokens[begin[1:]] - tokens[begin[:-1]], each.cumsum() - each).astype("i8")
+    # where they start in the texts; overlaps don't touch, so all starts ascend
+    ls, rs = starts[li] + (a - at[:-1])[left][lo], starts[ri] + (a - at[:-1])[right][ro]
+    j = np.searchsorted(rs, ls)
+    same = np.append(rs, -1)[j] == ls
+    same[same] = kind[li[same]] == kind[ri[j[same]]]
+    n = np.arange(len(li))
+    since = n.copy()  # first word of the run of agreeing words
+    since[1:][same[1:] & same[:-1] & (np.diff(j) == 1) & (np.diff(lo) == 0)] = 0
+    good = np.flatnonzero(same & (n - np.maximum.accumulate(since) + 1 >= 2 * run))
+    low, high = (np.searchsorted(lo[good], np.arange(len(left)), side=side) for side in ("left", "right"))
+    found = high > low
+    mid = good[((low + high) // 2)[found]]
+    np.subtract.at(out, of[left[found]], tokens[ri[j[mid] - run + 1]] - tokens[li[mid - run + 1]])
+    out[of[left[~found]]] = -1
+    return out
+
+
+def _ranges(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of half-open ranges, one range after another, and the range of each."""
+    n = ends - begins
+    of = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(of)) + (begins - n.cumsum() + n)[of], of
+
+
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 2048, text: str = "text", key: str = "doc_id", chunk_chars: int = 2_048, overlap_chars: int = 192) -> DataFrame:
     """Tokens of every whole text: ``key, n_bytes, n_tokens, over_limit`` (more tokens than ``limit``).
 
     Null and empty texts count 0 bytes and 0 tokens; repeated rows are counted one by one; other columns, whatever their
-    names, are left out; an empty table gives an empty one. Texts are encoded in overlapping chunks (spliced), so a task
-    holds a text and the units of two chunks at a time. There is no shuffle.
+    names, are left out; an empty table gives an empty one. Texts are encoded in overlapping chunks (spliced_counts), so
+    beside a batch a task holds the words of about 4 MB of text at a time. There is no shuffle.
     """
     small_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            size = [len(t.encode()) if t else 0 for t in texts]
-            n = [sum(map(len, spliced(enc, t, chunk_chars, overlap_chars))) // 4 if t else 0 for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["key", "n_bytes", "n_tokens", "over_limit"])
+            size = pc.binary_length(pc.fill_null(b.column(1), "")).cast(pa.int64())
+            n = spliced_counts(enc, b.column(1), chunk_chars, overlap_chars)
+            yield pa.RecordBatch.from_arrays([b.column(0), size, pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["key", "n_bytes", "n_tokens", "over_limit"])
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))

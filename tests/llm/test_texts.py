@@ -130,6 +130,40 @@ def test_spliced_chunks_equal_the_whole(name):
     assert stats["joined"] > 10 and stats["widened"] > 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_counts_of_many_texts_are_the_librarys(name, monkeypatch):
+    rng, e, alone = random.Random(6), tokens.Encoder(tokenizer_path(name)), []
+    one = tokens.spliced
+    monkeypatch.setattr(tokens, "spliced", lambda *a: alone.append(a) or one(*a))
+    some = [" ", " ", "\n", " a ", " it's ", "x\u0301 ", "É ", "日本", " ß", "𝔘 ", "\x85", "12", "<|endoftext|>", "Zz", "'", "\r"]
+    texts = [*STRANGE, None, "", " " * 900, "a b " * 400, "x " * 31 + "x", "q" * 500, "a b " * 40 + "q" * 90 + " c d" * 40, *("".join(rng.choices(some, k=rng.randint(0, 400))) for _ in range(150)), None]
+    want = [len(x) for x in e.library([t or "" for t in texts])]
+    for chunk, overlap, size in ((64, 32, 4 << 20), (64, 32, 1), (70, 20, 300), (200, 60, 2000), (2048, 192, 4 << 20), (30, 20, 300)):
+        alone.clear()
+        assert tokens.spliced_counts(e, pa.array(texts), chunk, overlap, size=size) == want
+        if e.drops_space:
+            assert len(alone) == len(texts) if chunk < 2 * overlap else len(alone) < len(texts) - 20
+    assert tokens.spliced_counts(e, pa.array(["cut", *texts]).slice(1).cast(pa.large_string()), 64, 32) == want
+    assert tokens.spliced_counts(e, pa.array([], pa.string()), 64, 32) == []
+
+
+def test_chunks_of_a_batch_encode_each_word_once():
+    """What counting a batch costs follows its different words, not its length: every word of every chunk was looked up before."""
+
+    class Counting(dict):
+        n = 0
+
+        def get(self, *a):
+            Counting.n += 1
+            return super().get(*a)
+
+    text = "The cat's 2 dogs, the cat's dogs! " * 50
+    e = tokens.Encoder(tokenizer_path())
+    e.parts, e.words = Counting(), Counting()
+    assert tokens.spliced_counts(e, pa.array([text] * 40), 500, 100) == [len(e.library([text])[0])] * 40
+    assert Counting.n <= len("The cat 's 2 dogs , the cat 's dogs !".split())
+
+
 def test_counts(spark, enc):
     got = tokens.count_tokens(odd(spark), tokenizer_path(), chunk_chars=5000, overlap_chars=100).toPandas()
     want = Counter((len((t or "").encode()), len(enc.library([t or ""])[0])) for _, t, _ in ODD)
